@@ -11,8 +11,8 @@ batch, an event is
 Whether a copy marks depends only on its event id, user and quota month. So
 copies are first folded to one narrow row per (user, event id, month) with the
 earliest arrival. A copy is then ``DUP_STATE`` exactly if it arrived after the
-earliest marking copy. The ledger lookups run on the folded rows; full records
-are joined once, at the end, to fetch the payload.
+earliest marking copy. The ledger lookups run on narrow rows; full records are
+joined once, at the end, to fetch the payload.
 """
 
 from __future__ import annotations
@@ -29,10 +29,14 @@ EVENT_KEY = ["user_id", "event_id"]
 COPY_KEY = ["user_id", "event_id", "quota_month"]
 
 
+def _narrow(checkins: DataFrame) -> DataFrame:
+    rows = with_quota_month(checkins.select(*EVENT_KEY, "checkin_date", "arrival_seq"))
+    return rows.select(*COPY_KEY, "arrival_seq")
+
+
 def fold_copies(checkins: DataFrame) -> DataFrame:
     """One narrow row per user, event id and quota month."""
-    narrow = with_quota_month(checkins.select("user_id", "event_id", "checkin_date", "arrival_seq"))
-    return narrow.groupBy(*COPY_KEY).agg(F.min("arrival_seq").alias("first_arrival"))
+    return _narrow(checkins).groupBy(*COPY_KEY).agg(F.min("arrival_seq").alias("first_arrival"))
 
 
 def _has_quota(cfg: EngineConfig) -> Column:
@@ -111,12 +115,12 @@ def accept(
     """Accepted check-ins only, with ``checkin_order``; rejects are dropped.
 
     The short form of the rule: among copies whose month has room the first
-    one counts, unless the ledger holds its event id.
+    one counts, unless the ledger holds its event id. Finding the first copy
+    folds the copies too, so they are not folded before.
     """
-    folded = fold_copies(checkins)
-    counted = with_month_count(folded, daily_checkin, ["event_id"], cfg.count_salts)
-    first = first_per_key(counted.filter(_has_quota(cfg)), EVENT_KEY, "first_arrival")
-    fresh = new_events(first, checkin_events).withColumnRenamed("first_arrival", "arrival_seq")
+    counted = with_month_count(_narrow(checkins), daily_checkin, ["arrival_seq"], cfg.count_salts)
+    first = first_per_key(counted.filter(_has_quota(cfg)), EVENT_KEY)
+    fresh = new_events(first, checkin_events)
     return with_payload(checkins, assign_order(fresh, cfg))
 
 
