@@ -17,6 +17,8 @@ joined once, at the end, to fetch the payload.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,16 +139,22 @@ def decide(
     checkin_events: DataFrame,
     cfg: EngineConfig,
     seen: DataFrame | None = None,
+    cut: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Every check-in with its ``status`` and, where accepted, its order.
 
-    In sequential mode, accepted rows beyond the quota become ``LIMIT``.
+    In sequential mode, accepted rows beyond the quota become ``LIMIT``. That
+    reads the verdicts twice; ``cut``, a function that writes a frame to a
+    table and returns it as written, saves working them out twice.
     """
     ruled = verdicts(checkins, daily_checkin, checkin_events, cfg, seen)
+    if cut is not None:
+        ruled = cut(ruled)
     return apply_verdicts(checkins, ruled, cfg)
 
 
 def apply_verdicts(checkins: DataFrame, ruled: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Statuses and orders of check-ins, from their verdicts."""
     if cfg.order_mode == "sequential":
         orders = accepted_keys(ruled, cfg).select(*COPY_KEY, "checkin_order")
         ruled = ruled.join(orders, COPY_KEY, "left")

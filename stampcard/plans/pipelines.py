@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 
 from stampcard.config import EngineConfig
@@ -27,7 +29,8 @@ def audit_checkins(
     checkin_events: DataFrame,
     cfg: EngineConfig,
     seen: DataFrame | None = None,
+    cut: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One processed row per check-in, rejects included. Keeps
     ``arrival_seq``, by which ``apply_ledger`` orders the rows."""
-    return to_processed(decide(checkins, daily_checkin, checkin_events, cfg, seen), cfg)
+    return to_processed(decide(checkins, daily_checkin, checkin_events, cfg, seen, cut), cfg)

@@ -72,7 +72,8 @@ class Inputs:
         return W.users(self.spark, self.sf_dir)
 
     def audited(self, cfg: EngineConfig = SEQUENTIAL) -> DataFrame:
-        return audit_checkins(self.checkins, self.daily, self.logged, cfg)
+        cut = self.written if cfg.order_mode == "sequential" else None
+        return audit_checkins(self.checkins, self.daily, self.logged, cfg, cut=cut)
 
     def decided(self, cfg: EngineConfig = CFG) -> DataFrame:
         return D.decide(self.checkins, self.daily, self.logged, cfg)
@@ -88,7 +89,8 @@ class Inputs:
         )
 
     def written(self, df: DataFrame) -> DataFrame:
-        path = scratch_path(self.spark, "audited")
+        """Cut the plan: write to the shared folder and read back."""
+        path = scratch_path(self.spark, "cut")
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -99,15 +101,14 @@ def decode_checkins(i: Inputs) -> DataFrame:
 
 
 def decode_quarantine(i: Inputs) -> DataFrame:
-    rows = W.damaged_records(i.spark, i.sf_dir)
-    good, bad = wire.split_quarantine(wire.decode_checkins(rows, on_error="quarantine"))
-    return good.select("arrival_seq", F.lit("OK").alias("outcome"), "event_id", "user_id").unionByName(
-        bad.select(
-            "arrival_seq",
-            F.col("reason").alias("outcome"),
-            F.lit(None).cast("string").alias("event_id"),
-            F.lit(None).cast("bigint").alias("user_id"),
-        )
+    records = W.damaged_records(i.spark, i.sf_dir)
+    decoded = wire.decode_checkins(records, on_error="quarantine")
+    usable = F.col("reason").isNull()
+    return decoded.select(
+        "arrival_seq",
+        F.coalesce("reason", F.lit("OK")).alias("outcome"),
+        F.when(usable, F.col("event_id")).alias("event_id"),
+        F.when(usable, F.col("user_id")).alias("user_id"),
     )
 
 
@@ -154,7 +155,7 @@ def many_month_sequential(i: Inputs) -> DataFrame:
     checkins = W.order_checkins(i.spark, i.sf_dir)
     daily = i.spark.createDataFrame([], "user_id bigint, checkin_date date")
     logged = i.spark.createDataFrame([], "event_id string")
-    return audit_checkins(checkins, daily, logged, MANY_MONTHS)
+    return audit_checkins(checkins, daily, logged, MANY_MONTHS, cut=i.written)
 
 
 def monthly_quota(i: Inputs) -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stampcard.config import EngineConfig
@@ -19,6 +19,8 @@ DateRange = tuple[dt.date, dt.date]
 # Rows that were in the ledger before any stream wrote to it.
 INITIAL = "initial"
 
+USER_POINTS_DDL = "user_id bigint, points_added bigint, added_at timestamp_ntz"
+
 
 def month_range(checkins: DataFrame) -> DateRange | None:
     """First day of the first and last day of the last quota month of a batch;
@@ -102,15 +104,12 @@ class FileLedger:
         return f"{self.root}/{table}/batch={batch}"
 
     def _write(self, table: str, rows: DataFrame, batch: str) -> None:
-        writer = rows
+        path = self._path(table, batch)
         if table == "daily_checkin":
-            writer = rows.withColumn("quota_month", quota_month(F.col("checkin_date")))
-            # Few months, many rows each: let the month's rows stay spread.
-            writer.write.mode("overwrite").partitionBy("quota_month").parquet(
-                self._path(table, batch)
-            )
-            return
-        writer.write.mode("overwrite").parquet(self._path(table, batch))
+            monthly = rows.withColumn("quota_month", quota_month(F.col("checkin_date")))
+            monthly.write.mode("overwrite").partitionBy("quota_month").parquet(path)
+        else:
+            rows.write.mode("overwrite").parquet(path)
 
     def _read(self, table: str, ddl: str, skip_batch: str | None) -> DataFrame:
         rows = (
@@ -137,7 +136,7 @@ class FileLedger:
         self._write("user_points", self.spark.createDataFrame([], USER_POINTS_DDL), INITIAL)
         return self
 
-    def append(self, changes: LedgerChanges, now, batch: str) -> None:
+    def append(self, changes: LedgerChanges, now: Column, batch: str) -> None:
         self._write("daily_checkin", changes.daily_checkin, batch)
         self._write("user_points_history", changes.user_points_history, batch)
         self._write("checkin_events", changes.checkin_events, batch)
@@ -181,9 +180,6 @@ class FileLedger:
         )
 
 
-USER_POINTS_DDL = "user_id bigint, points_added bigint, added_at timestamp_ntz"
-
-
 class BatchJournal:
     """What a stream remembers of each batch besides its rows: the clock it
     ran under, so a repeat stamps equal times, and that it is finished."""
@@ -218,3 +214,40 @@ class BatchJournal:
 
     def is_finished(self, batch: str) -> bool:
         return self._read(f"{batch}.finished") is not None
+
+
+# Statements that move one staged batch into the ledger tables, to be run in
+# one transaction by the database: Spark's JDBC writer only appends.
+MERGE_STATEMENTS = (
+    "UPDATE users u JOIN staged_user_points s ON s.user_id = u.id AND s.batch = :batch "
+    "SET u.total_points = u.total_points + s.points_added, u.updated_at = s.added_at",
+    "INSERT INTO daily_checkin (user_id, checkin_date, points_earned, checkin_order, created_at) "
+    "SELECT user_id, checkin_date, points_earned, checkin_order, created_at "
+    "FROM staged_daily_checkin WHERE batch = :batch",
+    "INSERT INTO user_points_history "
+    "(user_id, points, transaction_type, description, created_at) "
+    "SELECT user_id, points, transaction_type, description, created_at "
+    "FROM staged_user_points_history WHERE batch = :batch",
+    "INSERT IGNORE INTO checkin_events (event_id, user_id, checkin_date, event_timestamp, "
+    "`year_month`, points_earned, processed, processed_at, error_message, created_at, updated_at) "
+    "SELECT event_id, user_id, checkin_date, event_timestamp, `year_month`, points_earned, "
+    "processed, processed_at, error_message, created_at, updated_at "
+    "FROM staged_checkin_events WHERE batch = :batch",
+)
+
+
+def stage_changes(changes: LedgerChanges, cfg: EngineConfig, now: Column, batch: str) -> None:
+    """Append a batch's changes to ``staged_*`` tables over JDBC.
+
+    A repeated batch appends again, so delete its rows (``batch = ...``)
+    before, and run ``MERGE_STATEMENTS`` once per batch after.
+    """
+    frames = {
+        "staged_user_points": changes.user_points.withColumn("added_at", now),
+        "staged_daily_checkin": changes.daily_checkin,
+        "staged_user_points_history": changes.user_points_history,
+        "staged_checkin_events": changes.checkin_events,
+    }
+    for table, rows in frames.items():
+        named = rows.withColumn("batch", F.lit(batch))
+        named.write.format("jdbc").options(**jdbc_options(cfg, table)).mode("append").save()

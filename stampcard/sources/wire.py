@@ -16,14 +16,17 @@ NULL_USER_ID = "NULL_USER_ID"
 NULL_CHECKIN_DATE = "NULL_CHECKIN_DATE"
 
 _CORRUPT = "__corrupt"
-_PARSED = "__parsed"
 
 
 def _parse(value: Column) -> Column:
+    """Wire fields of a JSON text, each record parsed once.
+
+    Given out by a generator, because Spark would copy a plain ``from_json``
+    into every filter and field that uses its result.
+    """
     schema = T.StructType([*CHECKIN_WIRE_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
-    return F.from_json(
-        value, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    return F.inline(F.array(F.from_json(value, schema, options)))
 
 
 def _reason(value: Column) -> Column:
@@ -31,10 +34,10 @@ def _reason(value: Column) -> Column:
     return (
         F.when(value.isNull() | (text == ""), MALFORMED)
         .when(text == "null", NULL_RECORD)
-        .when(F.col(f"{_PARSED}.{_CORRUPT}").isNotNull(), MALFORMED)
-        .when(F.col(f"{_PARSED}.eventId").isNull(), NULL_EVENT_ID)
-        .when(F.col(f"{_PARSED}.userId").isNull(), NULL_USER_ID)
-        .when(F.col(f"{_PARSED}.checkinDate").isNull(), NULL_CHECKIN_DATE)
+        .when(F.col(_CORRUPT).isNotNull(), MALFORMED)
+        .when(F.col("eventId").isNull(), NULL_EVENT_ID)
+        .when(F.col("userId").isNull(), NULL_USER_ID)
+        .when(F.col("checkinDate").isNull(), NULL_CHECKIN_DATE)
     )
 
 
@@ -57,15 +60,15 @@ def decode_checkins(
         raise ValueError(f"unknown on_error: {on_error!r}")
     value = F.col(value_col).cast("string")
     rest = [name for name in df.columns if name != value_col]
-    parsed = df.select(*rest, value.alias("raw"), _parse(value).alias(_PARSED))
+    parsed = df.select(*rest, value.alias("raw")).select("*", _parse(F.col("raw")))
     decoded = parsed.select(
         *rest,
-        F.col(f"{_PARSED}.eventId").alias("event_id"),
-        F.col(f"{_PARSED}.userId").alias("user_id"),
-        F.col(f"{_PARSED}.checkinDate").alias("checkin_date"),
-        F.col(f"{_PARSED}.eventTimestamp").alias("event_timestamp"),
-        F.col(f"{_PARSED}.yearMonth").alias("year_month"),
-        _metadata(f"{_PARSED}.metadata").alias("metadata"),
+        F.col("eventId").alias("event_id"),
+        F.col("userId").alias("user_id"),
+        F.col("checkinDate").alias("checkin_date"),
+        F.col("eventTimestamp").alias("event_timestamp"),
+        F.col("yearMonth").alias("year_month"),
+        _metadata("metadata").alias("metadata"),
         "raw",
         _reason(F.col("raw")).alias("reason"),
     )

@@ -11,7 +11,13 @@ from stampcard.plans import workload as W
 from stampcard.session import scratch_path, tune
 from stampcard.sources.tables import FileLedger
 from stampcard.streaming.dedup_state import dedup_stream as first_arrivals
-from stampcard.streaming.jobs import apply_ledger_stream, file_sink, start_live_stream
+from stampcard.streaming.jobs import (
+    LedgerJob,
+    LiveJob,
+    apply_ledger_stream,
+    file_sink,
+    start_live_stream,
+)
 
 
 def _fixed_clock() -> dt.datetime:
@@ -57,16 +63,11 @@ def live_stream(spark: SparkSession, sf_dir: str, cfg: EngineConfig) -> DataFram
     tune(spark, streaming=True)
     root = scratch_path(spark, "live-stream")
     ledger = _new_ledger(spark, sf_dir, cfg, root)
+    job = LiveJob(
+        spark, cfg, ledger, file_sink(f"{root}/out"), f"{root}/state", clock=_fixed_clock
+    )
     query = start_live_stream(
-        spark,
-        checkin_stream(spark, sf_dir),
-        cfg,
-        ledger,
-        file_sink(f"{root}/out"),
-        f"{root}/state",
-        f"{root}/checkpoint",
-        available_now=True,
-        clock=_fixed_clock,
+        checkin_stream(spark, sf_dir), job, f"{root}/checkpoint", available_now=True
     )
     query.awaitTermination()
     return spark.read.parquet(f"{root}/out").drop("batch")
@@ -76,16 +77,11 @@ def ledger_stream(spark: SparkSession, sf_dir: str, cfg: EngineConfig) -> DataFr
     tune(spark, streaming=True)
     root = scratch_path(spark, "ledger-stream")
     ledger = _new_ledger(spark, sf_dir, cfg, root)
+    job = LedgerJob(
+        spark, cfg, ledger, f"{root}/state", on_missing="quarantine", clock=_fixed_clock
+    )
     query = apply_ledger_stream(
-        spark,
-        checkin_stream(spark, sf_dir),
-        cfg,
-        ledger,
-        f"{root}/state",
-        f"{root}/checkpoint",
-        on_missing="quarantine",
-        available_now=True,
-        clock=_fixed_clock,
+        checkin_stream(spark, sf_dir), job, f"{root}/checkpoint", available_now=True
     )
     query.awaitTermination()
     return ledger.users()

@@ -30,9 +30,9 @@ from stampcard.functions.rules import (
     to_processed,
     to_transactions,
 )
-from stampcard.operators.decide import EVENT_KEY, apply_verdicts, decide, verdicts
+from stampcard.operators.decide import EVENT_KEY, apply_verdicts, verdicts
 from stampcard.operators.ledger import apply_ledger
-from stampcard.sources import kafka
+from stampcard.sources import kafka, wire
 from stampcard.sources.tables import BatchJournal, FileLedger, JdbcLedger, month_range
 
 LOG = logging.getLogger(__name__)
@@ -116,7 +116,7 @@ class SeenEvents:
 
 
 @dataclass(frozen=True)
-class BatchContext:
+class Batch:
     """One micro-batch ready to be worked on."""
 
     name: str
@@ -124,34 +124,68 @@ class BatchContext:
     checkins: DataFrame
 
 
-class _Job:
-    def __init__(self, spark: SparkSession, cfg: EngineConfig, state: str, clock: Clock) -> None:
+class Job:
+    """What both jobs do around a batch.
+
+    ``on_error`` says how raw records (``value``, ``arrival_seq``) are decoded,
+    see ``decode_checkins``; unusable ones are put aside by batch. Leave it
+    out if the stream holds check-ins already. ``state`` is a shared folder
+    that belongs to this job alone.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        cfg: EngineConfig,
+        state: str,
+        on_error: str | None = None,
+        clock: Clock = utc_now,
+    ) -> None:
         self.spark = spark
         self.cfg = cfg
         self.state = state.rstrip("/")
+        self.on_error = on_error
         self.clock = clock
         self.journal = BatchJournal(spark, state)
 
-    def run(self, batch: BatchContext) -> None:
+    def work(self, batch: Batch) -> None:
         raise NotImplementedError
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        # A checkpoint keeps its query id, a new checkpoint has a new one: a
-        # fresh query's batch 0 is never taken for an old one's.
+        # A checkpoint keeps its query id and a new checkpoint has a new one,
+        # so a new query's batch 0 is never taken for an old one's.
         query_id = batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        name = f"{query_id}-{batch_id}"
+        if not query_id:
+            raise RuntimeError("not called from a streaming query")
+        self.run(batch_df, f"{query_id}-{batch_id}")
+
+    def run(self, batch_df: DataFrame, name: str) -> None:
         if self.journal.is_finished(name):
             LOG.info("batch %s is finished already", name)
             return
         now = self.journal.clock(name, self.clock())
-        staged = f"{self.state}/staged"
-        batch_df.write.mode("overwrite").parquet(staged)
-        checkins = self.spark.read.schema(batch_df.schema).parquet(staged)
-        self.run(BatchContext(name, now, checkins))
+        self.work(Batch(name, now, self._staged(batch_df, name)))
         self.journal.finish(name, now)
 
-
-class LiveJob(_Job):
+    def _staged(self, batch_df: DataFrame, name: str) -> DataFrame:
+        if self.on_error is None:
+            return self.cut(batch_df, "staged")
+        staged = self.cut(wire.decode_checkins(batch_df, on_error=self.on_error), "staged")
+        if self.on_error == "fail":
+            return staged
+        good, bad = wire.split_quarantine(staged)
+        bad.write.mode("overwrite").parquet(f"{self.state}/quarantine/batch={name}")
+        return good
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` to a work folder, used again by the next batch, and
+        return it as written."""
+        folder = f"{self.state}/work/{name}"
+        df.write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+
+class LiveJob(Job):
     """Decide a batch and send the transactions of its accepted check-ins."""
 
     def __init__(
@@ -161,40 +195,34 @@ class LiveJob(_Job):
         ledger: FileLedger | JdbcLedger,
         sink: Sink,
         state: str,
+        on_error: str | None = None,
         clock: Clock = utc_now,
     ) -> None:
-        super().__init__(spark, cfg, state, clock)
+        super().__init__(spark, cfg, state, on_error, clock)
         self.ledger = ledger
         self.sink = sink
         self.seen = SeenEvents(spark, state, cfg.state_ttl_ms)
         self.seen.create()
 
-    def run(self, batch: BatchContext) -> None:
+    def work(self, batch: Batch) -> None:
         daily = self.ledger.daily_checkin(month_range(batch.checkins), batch.name)
         logged = self.ledger.checkin_events(batch.name)
         seen = self.seen.read(batch.name, batch.now)
-        ruled = self.seen.write(
-            verdicts(batch.checkins, daily, logged, self.cfg, seen), batch.name, batch.now
-        )
-        decided, outcomes = observe_outcomes(apply_verdicts(batch.checkins, ruled, self.cfg))
+        ruled = verdicts(batch.checkins, daily, logged, self.cfg, seen)
+        kept = self.seen.write(ruled, batch.name, batch.now)
+        decided, outcomes = observe_outcomes(apply_verdicts(batch.checkins, kept, self.cfg))
         accepted = decided.filter(F.col("status") == ACCEPT)
         self.sink(to_transactions(accepted, self.cfg, time_literal(batch.now)), batch.name)
         LOG.info("batch %s: %s", batch.name, outcomes.get)
 
 
-class LedgerJob(_Job):
+class LedgerJob(Job):
     """Decide a batch and apply it to the ledger.
 
     The event log is the state here: whatever was decided before is logged
     there, for good and for any user, so no list of seen events is kept.
     """
 
-    PROCESSED_DDL = (
-        "event_id string, user_id bigint, checkin_date date, event_timestamp timestamp_ntz, "
-        "year_month string, points_earned int, checkin_order int, duplicate boolean, "
-        "error_message string, arrival_seq bigint"
-    )
-
     def __init__(
         self,
         spark: SparkSession,
@@ -202,35 +230,24 @@ class LedgerJob(_Job):
         ledger: FileLedger,
         state: str,
         on_missing: str = "fail",
+        on_error: str | None = None,
         clock: Clock = utc_now,
     ) -> None:
-        super().__init__(spark, cfg, state, clock)
+        super().__init__(spark, cfg, state, on_error, clock)
         self.ledger = ledger
         self.on_missing = on_missing
 
-    def processed(self, batch: str) -> DataFrame:
-        return self.spark.read.schema(self.PROCESSED_DDL).parquet(
-            f"{self.state}/processed/batch={batch}"
-        )
-
-    def run(self, batch: BatchContext) -> None:
+    def work(self, batch: Batch) -> None:
         dates = month_range(batch.checkins)
         daily = self.ledger.daily_checkin(dates, batch.name)
         logged = self.ledger.checkin_events(batch.name)
-        decided, outcomes = observe_outcomes(decide(batch.checkins, daily, logged, self.cfg))
-        to_processed(decided, self.cfg).write.mode("overwrite").parquet(
-            f"{self.state}/processed/batch={batch.name}"
-        )
+        ruled = self.cut(verdicts(batch.checkins, daily, logged, self.cfg), "ruled")
+        decided, outcomes = observe_outcomes(apply_verdicts(batch.checkins, ruled, self.cfg))
+        processed = self.cut(to_processed(decided, self.cfg), "processed")
         LOG.info("batch %s: %s", batch.name, outcomes.get)
         now = time_literal(batch.now)
-        changes = apply_ledger(
-            self.processed(batch.name),
-            self.ledger.known_users(),
-            daily,
-            logged,
-            now,
-            self.on_missing,
-        )
+        users = self.ledger.known_users()
+        changes = apply_ledger(processed, users, daily, logged, now, self.on_missing)
         if self.on_missing == "quarantine":
             changes.unknown_user_rows.write.mode("overwrite").parquet(
                 f"{self.state}/unknown_users/batch={batch.name}"
@@ -239,51 +256,29 @@ class LedgerJob(_Job):
 
 
 def start(
-    checkins: DataFrame,
-    job: _Job,
-    checkpoint: str,
-    available_now: bool = False,
+    checkins: DataFrame, job: Job, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
-    """Run ``job`` on a stream of check-ins with ``arrival_seq``.
+    """Run ``job`` on a stream, every checkpoint interval or until what is
+    there now is used up.
 
     The checkpoint is kept when the query stops; starting again on it goes on
     where it ended.
     """
     writer = checkins.writeStream.foreachBatch(job).option("checkpointLocation", checkpoint)
     if available_now:
-        writer = writer.trigger(availableNow=True)
-    else:
-        writer = writer.trigger(processingTime=f"{job.cfg.checkpoint_interval_ms} milliseconds")
-    return writer.start()
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=f"{job.cfg.checkpoint_interval_ms} milliseconds").start()
 
 
 def start_live_stream(
-    spark: SparkSession,
-    checkins: DataFrame,
-    cfg: EngineConfig,
-    ledger: FileLedger | JdbcLedger,
-    sink: Sink,
-    state: str,
-    checkpoint: str,
-    available_now: bool = False,
-    clock: Clock = utc_now,
+    checkins: DataFrame, job: LiveJob, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
     """Award points for a stream of check-ins."""
-    job = LiveJob(spark, cfg, ledger, sink, state, clock)
     return start(checkins, job, checkpoint, available_now)
 
 
 def apply_ledger_stream(
-    spark: SparkSession,
-    checkins: DataFrame,
-    cfg: EngineConfig,
-    ledger: FileLedger,
-    state: str,
-    checkpoint: str,
-    on_missing: str = "fail",
-    available_now: bool = False,
-    clock: Clock = utc_now,
+    checkins: DataFrame, job: LedgerJob, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
     """Audit a stream of check-ins and keep the ledger up to date."""
-    job = LedgerJob(spark, cfg, ledger, state, on_missing, clock)
     return start(checkins, job, checkpoint, available_now)
