@@ -25,6 +25,8 @@ RUNTIME_SETTINGS = {
 
 STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    # Save what a batch changed, not the whole store, at every batch.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Without this a bounded run in processing-time mode never ends.
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
@@ -48,11 +50,21 @@ def set_parallelism(spark: SparkSession, cfg: EngineConfig) -> SparkSession:
     return spark
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the session's shared checkpoint folder."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for data all executors share."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         raise ValueError(
             "spark.checkpoint.dir is not set; name a folder all executors share"
         )
-    return f"{root.rstrip('/')}/stampcard/{name}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def job_path(spark: SparkSession, name: str) -> str:
+    """A lasting folder for a named job's checkpoint and state."""
+    return f"{shared_folder(spark)}/stampcard/{name}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder for a table that only cuts a plan."""
+    return f"{shared_folder(spark)}/stampcard/{name}-{uuid.uuid4().hex}"

@@ -181,40 +181,39 @@ class FileLedger:
 
 
 class BatchJournal:
-    """What a stream remembers of each batch besides its rows: the clock it
-    ran under, so a repeat stamps equal times, and that it is finished."""
+    """What a stream remembers of each batch besides its rows: which steps
+    are done, and the clock it first ran under, so a repeat stamps equal
+    times. One tiny file per step."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = f"{root.rstrip('/')}/batches"
 
-    def _read(self, name: str) -> dt.datetime | None:
+    def time_of(self, batch: str, step: str) -> dt.datetime | None:
+        """The clock a step was noted with; None if it was not reached."""
+        path = f"{self.root}/{batch}.{step}"
         try:
-            row = self.spark.read.schema("at timestamp_ntz").parquet(f"{self.root}/{name}").head()
-        except AnalysisException:
+            row = self.spark.read.schema("at timestamp_ntz").parquet(path).head()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
         return None if row is None else row.at
 
-    def _write(self, name: str, at: dt.datetime) -> None:
+    def note(self, batch: str, step: str, at: dt.datetime) -> None:
         one = self.spark.range(1, numPartitions=1).select(
             F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz").alias("at")
         )
-        one.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        one.write.mode("overwrite").parquet(f"{self.root}/{batch}.{step}")
 
     def clock(self, batch: str, now: dt.datetime) -> dt.datetime:
         """The batch's time: ``now`` on its first run, the same ever after."""
-        earlier = self._read(f"{batch}.started")
+        earlier = self.time_of(batch, "started")
         if earlier is not None:
             return earlier
-        self._write(f"{batch}.started", now)
+        self.note(batch, "started", now)
         return now
 
-    def finish(self, batch: str, at: dt.datetime) -> None:
-        self._write(f"{batch}.finished", at)
-
-    def is_finished(self, batch: str) -> bool:
-        return self._read(f"{batch}.finished") is not None
-
 
 # Statements that move one staged batch into the ledger tables, to be run in
 # one transaction by the database: Spark's JDBC writer only appends.

@@ -90,10 +90,13 @@ class SeenEvents:
     def _folder(self, batch: str, now: dt.datetime) -> str:
         return f"{self.root}/day={now.date().isoformat()}/batch={batch}"
 
-    def write(self, ruled: DataFrame, batch: str, now: dt.datetime) -> DataFrame:
-        """Keep a batch's verdicts and return them as written."""
+    def write(self, ruled: DataFrame, batch: str, now: dt.datetime) -> None:
+        """Keep a batch's verdicts, of which the marking ones are read later."""
+        stamped = ruled.withColumn("seen_at", time_literal(now))
+        stamped.write.mode("overwrite").parquet(self._folder(batch, now))
+
+    def verdicts_of(self, batch: str, now: dt.datetime) -> DataFrame:
         folder = self._folder(batch, now)
-        ruled.withColumn("seen_at", time_literal(now)).write.mode("overwrite").parquet(folder)
         return self.spark.read.schema(self.DDL).parquet(folder).drop("seen_at")
 
     def read(self, batch: str, now: dt.datetime) -> DataFrame:
@@ -160,12 +163,12 @@ class Job:
         self.run(batch_df, f"{query_id}-{batch_id}")
 
     def run(self, batch_df: DataFrame, name: str) -> None:
-        if self.journal.is_finished(name):
+        if self.journal.time_of(name, "finished"):
             LOG.info("batch %s is finished already", name)
             return
         now = self.journal.clock(name, self.clock())
         self.work(Batch(name, now, self._staged(batch_df, name)))
-        self.journal.finish(name, now)
+        self.journal.note(name, "finished", now)
 
     def _staged(self, batch_df: DataFrame, name: str) -> DataFrame:
         if self.on_error is None:
@@ -205,11 +208,16 @@ class LiveJob(Job):
         self.seen.create()
 
     def work(self, batch: Batch) -> None:
-        daily = self.ledger.daily_checkin(month_range(batch.checkins), batch.name)
-        logged = self.ledger.checkin_events(batch.name)
-        seen = self.seen.read(batch.name, batch.now)
-        ruled = verdicts(batch.checkins, daily, logged, self.cfg, seen)
-        kept = self.seen.write(ruled, batch.name, batch.now)
+        # Once ruled on, a batch is not ruled on again: a repeat sends the same
+        # transactions even if the ledger has moved on in between.
+        if not self.journal.time_of(batch.name, "ruled"):
+            daily = self.ledger.daily_checkin(month_range(batch.checkins), batch.name)
+            logged = self.ledger.checkin_events(batch.name)
+            seen = self.seen.read(batch.name, batch.now)
+            ruled = verdicts(batch.checkins, daily, logged, self.cfg, seen)
+            self.seen.write(ruled, batch.name, batch.now)
+            self.journal.note(batch.name, "ruled", batch.now)
+        kept = self.seen.verdicts_of(batch.name, batch.now)
         decided, outcomes = observe_outcomes(apply_verdicts(batch.checkins, kept, self.cfg))
         accepted = decided.filter(F.col("status") == ACCEPT)
         self.sink(to_transactions(accepted, self.cfg, time_literal(batch.now)), batch.name)

@@ -151,10 +151,17 @@ def test_repeated_batch_sends_the_same(spark, tmp_path):
 
     clock = Clock(day(0), day(1))
     cfg = CFG.with_(id_mode="reference")
-    job = live_job(spark, tmp_path, new_ledger(spark, tmp_path), clock, failing_sink, cfg)
+    ledger = new_ledger(spark, tmp_path)
+    job = live_job(spark, tmp_path, ledger, clock, failing_sink, cfg)
     batch = rows_of(spark, [Checkin("a", 1, DAY, 1), Checkin("a", 1, DAY, 2), Checkin("b", 2, DAY, 3)])
     with pytest.raises(RuntimeError):
         job.run(batch, "q-0")
+    # Meanwhile somebody books what was sent.
+    ledger._write(
+        "daily_checkin",
+        spark.createDataFrame([(1, DAY, 1, 1, None)], LEDGER_DDL["daily_checkin"]),
+        "other",
+    )
     job.run(batch, "q-0")
     job.run(batch, "q-0")
     assert len(calls) == 2 and calls[0] == calls[1] and len(calls[0]) == 2
@@ -268,16 +275,18 @@ def test_ledger_stream_equals_the_fold(spark, tmp_path, mode):
 def test_repeated_ledger_batch_changes_nothing(spark, tmp_path):
     ledger = new_ledger(spark, tmp_path)
     job = LedgerJob(spark, CFG, ledger, f"{tmp_path}/state", clock=Clock(day(0), day(1)))
-    finish = job.journal.finish
+    note = job.journal.note
 
-    def lost(batch, at):
-        raise RuntimeError("lost")
+    def lost(batch, step, at):
+        if step == "finished":
+            raise RuntimeError("lost")
+        note(batch, step, at)
 
-    job.journal.finish = lost
+    job.journal.note = lost
     with pytest.raises(RuntimeError):
         job.run(rows_of(spark, batch_of(0)), "q-0")
     before = contents(ledger)
-    job.journal.finish = finish
+    job.journal.note = note
     job.run(rows_of(spark, batch_of(0)), "q-0")
     assert contents(ledger) == before
     job.run(rows_of(spark, batch_of(1)), "q-1")
