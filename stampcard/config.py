@@ -59,7 +59,7 @@ class EngineConfig:
 
     # Copies of the month counts made so that one user's rows spread over
     # this many join keys (see operators/lookups.py).
-    count_salts: int = 8
+    count_salts: int = 2
 
     def __post_init__(self) -> None:
         if not self.points_ladder:

@@ -8,11 +8,11 @@ batch, an event is
 * else ``LIMIT`` if the user's month is full; it is *not* marked,
 * else ``ACCEPT``; it is marked.
 
-Whether a copy marks depends only on its event id, user and quota month. So
-copies are first folded to one narrow row per (user, event id, month) with the
-earliest arrival. A copy is then ``DUP_STATE`` exactly if it arrived after the
-earliest marking copy. The ledger lookups run on narrow rows; full records are
-joined once, at the end, to fetch the payload.
+Whether a copy marks depends only on its event id, user and quota month, so a
+copy is ``DUP_STATE`` exactly if it arrived after the earliest marking copy.
+``accept`` needs only that earliest copy and takes it in one pass over the full
+records. ``decide`` keeps every row: it works out one narrow row per (user,
+event id, month), the verdict, and joins it back to the records.
 """
 
 from __future__ import annotations
@@ -25,22 +25,17 @@ from pyspark.sql import functions as F
 from stampcard.config import EngineConfig
 from stampcard.functions.rules import ACCEPT, DUP_LEDGER, DUP_STATE, LIMIT, with_quota_month
 from stampcard.operators.dedup import first_per_key
-from stampcard.operators.lookups import mark_ledger_duplicates, new_events, with_month_count
+from stampcard.operators.lookups import (
+    SALT,
+    mark_ledger_duplicates,
+    new_events,
+    with_month_count,
+)
 
 EVENT_KEY = ["user_id", "event_id"]
 COPY_KEY = ["user_id", "event_id", "quota_month"]
 
 
-def _narrow(checkins: DataFrame) -> DataFrame:
-    rows = with_quota_month(checkins.select(*EVENT_KEY, "checkin_date", "arrival_seq"))
-    return rows.select(*COPY_KEY, "arrival_seq")
-
-
-def fold_copies(checkins: DataFrame) -> DataFrame:
-    """One narrow row per user, event id and quota month."""
-    return _narrow(checkins).groupBy(*COPY_KEY).agg(F.min("arrival_seq").alias("first_arrival"))
-
-
 def _has_quota(cfg: EngineConfig) -> Column:
     return F.col("month_count") < F.lit(cfg.max_per_month)
 
@@ -52,20 +47,30 @@ def verdicts(
     cfg: EngineConfig,
     seen: DataFrame | None = None,
 ) -> DataFrame:
-    """Folded copies with ``month_count``, ``in_ledger``, ``in_state`` and
-    ``first_mark``, the earliest marking arrival of the (user, event id).
+    """One row per user, event id and quota month with ``first_arrival``,
+    ``month_count``, ``in_ledger``, ``in_state`` and ``first_mark``, the
+    earliest marking arrival of the (user, event id).
 
     ``seen`` holds the (user, event id) pairs still remembered from earlier
     batches, each once.
+
+    The ledger join deals rows out by event id and a salt that follows from
+    the user. Folding the copies and looking for the first mark group by both
+    as well, so they run where the join left the rows.
     """
-    folded = fold_copies(checkins)
-    counted = with_month_count(folded, daily_checkin, ["event_id"], cfg.count_salts)
-    marked = mark_ledger_duplicates(counted, checkin_events, ["user_id"])
+    rows = with_quota_month(checkins.select(*EVENT_KEY, "checkin_date", "arrival_seq"))
+    counted = with_month_count(
+        rows.select(*COPY_KEY, "arrival_seq"), daily_checkin, ["arrival_seq"], cfg.count_salts
+    )
+    marked = mark_ledger_duplicates(counted, checkin_events, ["user_id"], keep_salt=True)
+    folded = marked.groupBy(*COPY_KEY, SALT, "month_count", "in_ledger").agg(
+        F.min("arrival_seq").alias("first_arrival")
+    )
     marks = F.col("in_ledger") | _has_quota(cfg)
-    copies = Window.partitionBy(*EVENT_KEY)
-    ruled = marked.withColumn(
+    copies = Window.partitionBy(*EVENT_KEY, SALT)
+    ruled = folded.withColumn(
         "first_mark", F.min(F.when(marks, F.col("first_arrival"))).over(copies)
-    )
+    ).drop(SALT)
     if seen is None:
         return ruled.withColumn("in_state", F.lit(False))
     known = seen.select(*EVENT_KEY).withColumn("in_state", F.lit(True))
@@ -116,21 +121,16 @@ def accept(
 ) -> DataFrame:
     """Accepted check-ins only, with ``checkin_order``; rejects are dropped.
 
-    The short form of the rule: among copies whose month has room the first
-    one counts, unless the ledger holds its event id. Finding the first copy
-    folds the copies too, so they are not folded before.
+    The short form of the rule: the first copy whose month has room and whose
+    event id the ledger does not hold. The ledger join leaves the rows dealt
+    out by event id, which serves the search for the first copy too: full
+    records are shuffled once, or twice where the month counts are large.
     """
-    counted = with_month_count(_narrow(checkins), daily_checkin, ["arrival_seq"], cfg.count_salts)
-    first = first_per_key(counted.filter(_has_quota(cfg)), EVENT_KEY)
-    fresh = new_events(first, checkin_events)
-    return with_payload(checkins, assign_order(fresh, cfg))
-
-
-def with_payload(checkins: DataFrame, accepted: DataFrame) -> DataFrame:
-    """Full records of accepted keys. The key names single rows on both
-    sides, so no key can be hot."""
-    keys = accepted.select(*EVENT_KEY, "arrival_seq", "checkin_order")
-    return checkins.join(keys, [*EVENT_KEY, "arrival_seq"], "inner")
+    counted = with_month_count(
+        with_quota_month(checkins), daily_checkin, ["arrival_seq"], cfg.count_salts
+    )
+    fresh = new_events(counted.filter(_has_quota(cfg)), checkin_events)
+    return assign_order(first_per_key(fresh, EVENT_KEY), cfg)
 
 
 def decide(

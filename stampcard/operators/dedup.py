@@ -1,23 +1,24 @@
 """Deduplication in set form.
 
-Every operator here keeps at most one row per key and map task before the
-shuffle (Spark turns ``row_number() <= k`` into a group limit on both sides of
-the exchange, and ``min`` into a partial aggregate), so a key that holds a
-third of all rows arrives as one row per map task.
+The first row of a key is an aggregate, so each map task sends at most one row
+per key: a key that holds a third of all rows arrives as one row per map task.
+A window with ``row_number() = 1`` is limited before the shuffle only where
+Spark plans that shuffle from the start. It loses the limit where the rows lie
+right already and adaptive execution, having split a skewed join below, adds
+the shuffle later.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_RANK = "__rank"
-
 
 def first_per_key(df: DataFrame, keys: list[str], order_by: str = "arrival_seq") -> DataFrame:
     """The row of each key that arrived first."""
-    window = Window.partitionBy(*keys).orderBy(order_by)
-    return df.withColumn(_RANK, F.row_number().over(window)).filter(f"{_RANK} = 1").drop(_RANK)
+    rest = [name for name in df.columns if name not in keys]
+    first = F.min_by(F.struct(*rest), order_by)
+    return df.groupBy(*keys).agg(first.alias("__first")).select(*keys, "__first.*")
 
 
 def dedup_first_arrival(df: DataFrame) -> DataFrame:

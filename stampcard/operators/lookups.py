@@ -7,7 +7,9 @@ not send all rows of a key to one task:
   copies the looked-up side once per salt. It is used where that side is an
   aggregate. Joining straight onto an aggregate would reuse the aggregate's
   own partitioning, and adaptive execution splits a skewed partition only
-  where both sides are shuffled for the join; the salt brings that about too.
+  where both sides are shuffled for the join. The salt brings that about, so
+  a hot key is first dealt out by salt and then split by size, as often as it
+  takes; two salts are enough for that and copy little.
 * Semi and anti joins read the ledger as it is, so both sides are shuffled
   for the join and adaptive execution can split the hot one.
 
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from stampcard.functions.rules import quota_month
 
-_SALT = "__salt"
+SALT = "__salt"
 
 
 def salted_left_join(
@@ -30,15 +32,16 @@ def salted_left_join(
     right: DataFrame,
     on: list[str],
     spread_by: list[str],
-    salts: int,
+    salts: int = 2,
 ) -> DataFrame:
-    """Left join where ``right`` has one row per ``on``.
+    """Left join where ``right`` has one row per ``on``. The result keeps the
+    salt column.
 
     ``spread_by`` are left columns that differ between rows of one key.
     """
-    spread = left.withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    copies = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(copies, [*on, _SALT], "left").drop(_SALT)
+    spread = left.withColumn(SALT, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    copies = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return spread.join(copies, [*on, SALT], "left")
 
 
 def monthly_counts(daily_checkin: DataFrame) -> DataFrame:
@@ -51,7 +54,7 @@ def monthly_counts(daily_checkin: DataFrame) -> DataFrame:
 
 
 def with_month_count(
-    df: DataFrame, daily_checkin: DataFrame, spread_by: list[str], salts: int = 8
+    df: DataFrame, daily_checkin: DataFrame, spread_by: list[str], salts: int = 2
 ) -> DataFrame:
     """Add ``month_count``, the user's ledger rows in the row's quota month."""
     counted = salted_left_join(
@@ -61,21 +64,24 @@ def with_month_count(
         spread_by=spread_by,
         salts=salts,
     )
-    return counted.withColumn("month_count", F.coalesce("month_count", F.lit(0).cast("bigint")))
+    return counted.drop(SALT).withColumn(
+        "month_count", F.coalesce("month_count", F.lit(0).cast("bigint"))
+    )
 
 
 def mark_ledger_duplicates(
-    df: DataFrame, checkin_events: DataFrame, spread_by: list[str]
+    df: DataFrame, checkin_events: DataFrame, spread_by: list[str], keep_salt: bool = False
 ) -> DataFrame:
     """Add ``in_ledger``: the event id was logged before, for any user and
     whatever its ``processed`` flag. Row count is kept.
 
-    Two salts are the fewest that give the ledger ids a shuffle of their own;
-    more would only copy a table that can be larger than the input.
+    With ``keep_salt`` the salt stays, so that later grouping by event id and
+    salt needs no shuffle of its own.
     """
     logged = checkin_events.select("event_id").distinct().withColumn("in_ledger", F.lit(True))
-    marked = salted_left_join(df, logged, on=["event_id"], spread_by=spread_by, salts=2)
-    return marked.withColumn("in_ledger", F.coalesce("in_ledger", F.lit(False)))
+    marked = salted_left_join(df, logged, on=["event_id"], spread_by=spread_by)
+    marked = marked.withColumn("in_ledger", F.coalesce("in_ledger", F.lit(False)))
+    return marked if keep_salt else marked.drop(SALT)
 
 
 def new_events(df: DataFrame, checkin_events: DataFrame) -> DataFrame:
