@@ -57,6 +57,10 @@ class EngineConfig:
     order_mode: str = "snapshot"
     id_mode: str = "reference"
 
+    # Most records one micro-batch takes from the source; a first start from
+    # the earliest offset is then cut into batches. None: no bound.
+    max_offsets_per_trigger: int | None = None
+
     # Copies of the month counts made so that one user's rows spread over
     # this many join keys (see operators/lookups.py).
     count_salts: int = 2

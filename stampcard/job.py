@@ -30,6 +30,7 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--job.name", default="award-points")
     parser.add_argument("--on.error", default="fail", choices=("fail", "quarantine"))
     parser.add_argument("--order.mode", default="snapshot", choices=("snapshot", "sequential"))
+    parser.add_argument("--max.offsets.per.trigger", type=int)
     return parser.parse_args(argv)
 
 
@@ -37,7 +38,11 @@ def config_of(args: argparse.Namespace) -> EngineConfig:
     given = {name: value for name, value in vars(args).items() if value is not None}
     cfg = EngineConfig.from_options({n: v for n, v in given.items() if n in OPTION_FIELDS})
     # A repeated batch must send equal ids, since the Kafka sink may repeat it.
-    return cfg.with_(order_mode=given["order.mode"], id_mode="deterministic")
+    return cfg.with_(
+        order_mode=given["order.mode"],
+        id_mode="deterministic",
+        max_offsets_per_trigger=given.get("max.offsets.per.trigger"),
+    )
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -44,6 +44,17 @@ def salted_left_join(
     return spread.join(copies, [*on, SALT], "left")
 
 
+def matching(ledger: DataFrame, batch: DataFrame, key: str, batch_key: str | None = None) -> DataFrame:
+    """Ledger rows whose ``key`` occurs in the batch.
+
+    For a batch much smaller than the ledger: the batch's keys are broadcast
+    where they are few, and then the ledger is only scanned; else its rows are
+    shuffled once, and lookups after this see the matching ones only.
+    """
+    keys = batch.select(F.col(batch_key or key).alias(key)).distinct()
+    return ledger.join(keys, key, "left_semi")
+
+
 def monthly_counts(daily_checkin: DataFrame) -> DataFrame:
     """Check-ins per user and quota month."""
     return (

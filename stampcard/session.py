@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -51,12 +52,16 @@ def set_parallelism(spark: SparkSession, cfg: EngineConfig) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for data all executors share."""
+    """The folder the cluster names for data all executors share. A local
+    session without one gets a temporary folder; a cluster must name its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        raise ValueError(
-            "spark.checkpoint.dir is not set; name a folder all executors share"
-        )
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(
+                "spark.checkpoint.dir is not set; name a folder all executors share"
+            )
+        root = tempfile.mkdtemp(prefix="stampcard-")
+        spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 

@@ -12,13 +12,16 @@ from stampcard.sources.wire import kafka_records
 def source_options(cfg: EngineConfig) -> dict[str, str]:
     """From the first offset on, committed records only. Spark keeps the
     offsets in its own checkpoint, so nothing is committed to the broker."""
-    return {
+    options = {
         "kafka.bootstrap.servers": cfg.kafka_bootstrap_servers,
         "subscribe": cfg.kafka_topic,
         "startingOffsets": "earliest",
         "kafka.isolation.level": "read_committed",
         "kafka.group.id": cfg.kafka_group_id,
     }
+    if cfg.max_offsets_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(cfg.max_offsets_per_trigger)
+    return options
 
 
 def sink_options(cfg: EngineConfig) -> dict[str, str]:

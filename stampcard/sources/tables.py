@@ -76,16 +76,22 @@ def read_ledger(
 
 @dataclass(frozen=True)
 class JdbcLedger:
-    """Read-only ledger of the live path."""
+    """Read-only ledger of the live path. ``user_split`` is (lowest user id,
+    highest user id, parts): each table is then read by that many tasks."""
 
     spark: SparkSession
     cfg: EngineConfig
+    user_split: tuple[int, int, int] | None = None
+
+    def _read(self, table: str, dates: DateRange | None) -> DataFrame:
+        split = None if self.user_split is None else ("user_id", *self.user_split)
+        return read_ledger(self.spark, self.cfg, table, dates, split)
 
     def daily_checkin(self, dates: DateRange | None, skip_batch: str | None = None) -> DataFrame:
-        return read_ledger(self.spark, self.cfg, "daily_checkin", dates)
+        return self._read("daily_checkin", dates)
 
     def checkin_events(self, skip_batch: str | None = None) -> DataFrame:
-        return read_ledger(self.spark, self.cfg, "checkin_events")
+        return self._read("checkin_events", None)
 
 
 class FileLedger:

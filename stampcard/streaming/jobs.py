@@ -32,11 +32,15 @@ from stampcard.functions.rules import (
 )
 from stampcard.operators.decide import EVENT_KEY, apply_verdicts, verdicts
 from stampcard.operators.ledger import apply_ledger
+from stampcard.operators.lookups import matching
 from stampcard.sources import kafka, wire
 from stampcard.sources.tables import BatchJournal, FileLedger, JdbcLedger, month_range
 
 LOG = logging.getLogger(__name__)
 
+# The folder of the empty day every memory starts with.
+FIRST_DAY = dt.date(1970, 1, 1)
+
 Clock = Callable[[], dt.datetime]
 Sink = Callable[[DataFrame, str], None]
 
@@ -74,7 +78,8 @@ def observe_outcomes(decided: DataFrame, name: str = "outcomes") -> tuple[DataFr
 
 class SeenEvents:
     """(user, event id) pairs marked in the last days, one folder per day and
-    batch. Only days within the time to live are read."""
+    batch. Only days within the time to live are read; older folders may be
+    removed at any time."""
 
     DDL = (
         "user_id bigint, event_id string, quota_month date, first_arrival bigint, "
@@ -102,10 +107,17 @@ class SeenEvents:
     def read(self, batch: str, now: dt.datetime) -> DataFrame:
         """Pairs still remembered at ``now``, without those of ``batch``."""
         since = now - self.ttl
-        rows = self.spark.read.schema(f"{self.DDL}, day date, batch string").parquet(self.root)
+        count = (now.date() - since.date()).days + 1
+        days = [since.date() + dt.timedelta(days=n) for n in range(count)]
+        # Name the days, so that older folders are not even listed.
+        names = ",".join(day.isoformat() for day in [FIRST_DAY, *days])
+        rows = (
+            self.spark.read.schema(f"{self.DDL}, day date, batch string")
+            .option("basePath", self.root)
+            .parquet(f"{self.root}/day={{{names}}}")
+        )
         return (
-            rows.filter(F.col("day") >= F.lit(since.date()))
-            .filter(F.col("batch") != batch)
+            rows.filter(F.col("batch") != batch)
             .filter(F.col("seen_at") > time_literal(since))
             .filter(~F.col("in_state") & (F.col("first_arrival") == F.col("first_mark")))
             .select(*EVENT_KEY)
@@ -115,7 +127,7 @@ class SeenEvents:
     def create(self) -> None:
         """An empty day, so that the first batch finds a table to read."""
         empty = self.spark.createDataFrame([], self.DDL)
-        empty.write.mode("ignore").parquet(f"{self.root}/day=1970-01-01/batch=initial")
+        empty.write.mode("ignore").parquet(f"{self.root}/day={FIRST_DAY}/batch=initial")
 
 
 @dataclass(frozen=True)
@@ -180,6 +192,19 @@ class Job:
         bad.write.mode("overwrite").parquet(f"{self.state}/quarantine/batch={name}")
         return good
 
+    def looked_up(
+        self, ledger: FileLedger | JdbcLedger, batch: Batch
+    ) -> tuple[DataFrame, DataFrame]:
+        """The daily rows and log rows a batch can meet, read now. A ledger is
+        far larger than a batch, so only these take part in the joins."""
+        months = month_range(batch.checkins)
+        daily = ledger.daily_checkin(months, batch.name)
+        logged = ledger.checkin_events(batch.name).select("event_id")
+        return (
+            self.cut(matching(daily, batch.checkins, "user_id"), "daily"),
+            self.cut(matching(logged, batch.checkins, "event_id"), "logged"),
+        )
+
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` to a work folder, used again by the next batch, and
         return it as written."""
@@ -211,8 +236,7 @@ class LiveJob(Job):
         # Once ruled on, a batch is not ruled on again: a repeat sends the same
         # transactions even if the ledger has moved on in between.
         if not self.journal.time_of(batch.name, "ruled"):
-            daily = self.ledger.daily_checkin(month_range(batch.checkins), batch.name)
-            logged = self.ledger.checkin_events(batch.name)
+            daily, logged = self.looked_up(self.ledger, batch)
             seen = self.seen.read(batch.name, batch.now)
             ruled = verdicts(batch.checkins, daily, logged, self.cfg, seen)
             self.seen.write(ruled, batch.name, batch.now)
@@ -246,15 +270,13 @@ class LedgerJob(Job):
         self.on_missing = on_missing
 
     def work(self, batch: Batch) -> None:
-        dates = month_range(batch.checkins)
-        daily = self.ledger.daily_checkin(dates, batch.name)
-        logged = self.ledger.checkin_events(batch.name)
+        daily, logged = self.looked_up(self.ledger, batch)
         ruled = self.cut(verdicts(batch.checkins, daily, logged, self.cfg), "ruled")
         decided, outcomes = observe_outcomes(apply_verdicts(batch.checkins, ruled, self.cfg))
         processed = self.cut(to_processed(decided, self.cfg), "processed")
         LOG.info("batch %s: %s", batch.name, outcomes.get)
         now = time_literal(batch.now)
-        users = self.ledger.known_users()
+        users = matching(self.ledger.known_users(), batch.checkins, "id", "user_id")
         changes = apply_ledger(processed, users, daily, logged, now, self.on_missing)
         if self.on_missing == "quarantine":
             changes.unknown_user_rows.write.mode("overwrite").parquet(

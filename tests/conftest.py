@@ -9,7 +9,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("stampcard-tests")
@@ -18,8 +18,6 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "6g")
     )
     session = builder.getOrCreate()
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield tune(session, streaming=True)
     session.stop()

@@ -32,6 +32,8 @@ def test_kafka_options():
         "kafka.isolation.level": "read_committed",
         "kafka.group.id": "g",
     }
+    bound = config_of(parse(["--max.offsets.per.trigger", "1000"]))
+    assert kafka.source_options(bound)["maxOffsetsPerTrigger"] == "1000"
     assert kafka.sink_options(cfg) == {"kafka.bootstrap.servers": "b:1", "topic": "out"}
 
 
