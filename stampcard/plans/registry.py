@@ -7,6 +7,7 @@ that results of two engines can be compared value by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,19 +56,23 @@ class Inputs:
         self.spark = tune(spark)
         self.sf_dir = sf_dir
 
-    @property
+    @cached_property
+    def events(self) -> DataFrame:
+        return W.events(self.spark, self.sf_dir)
+
+    @cached_property
     def checkins(self) -> DataFrame:
-        return W.checkins(self.spark, self.sf_dir)
+        return W.checkins_of(self.events)
 
-    @property
+    @cached_property
     def daily(self) -> DataFrame:
-        return W.daily_checkin(self.spark, self.sf_dir, CFG)
+        return W.daily_checkin_of(self.events, CFG)
 
-    @property
+    @cached_property
     def logged(self) -> DataFrame:
-        return W.checkin_events(self.spark, self.sf_dir)
+        return W.checkin_events_of(self.events)
 
-    @property
+    @cached_property
     def users(self) -> DataFrame:
         return W.users(self.spark, self.sf_dir)
 
@@ -101,7 +106,7 @@ def decode_checkins(i: Inputs) -> DataFrame:
 
 
 def decode_quarantine(i: Inputs) -> DataFrame:
-    records = W.damaged_records(i.spark, i.sf_dir)
+    records = W.damaged_records_of(i.events)
     decoded = wire.decode_checkins(records, on_error="quarantine")
     usable = F.col("reason").isNull()
     return decoded.select(

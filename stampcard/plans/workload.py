@@ -78,17 +78,13 @@ def checkins_of(raw: DataFrame) -> DataFrame:
     )
 
 
-def checkins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checkins_of(events(spark, sf_dir))
-
-
 def _logged(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("ts") < F.lit(LEDGER_CUT).cast("timestamp_ntz"))
 
 
-def daily_checkin(spark: SparkSession, sf_dir: str, cfg: EngineConfig) -> DataFrame:
+def daily_checkin_of(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
     """One row per user and day before the cut, up to the monthly quota."""
-    days = _base(_logged(events(spark, sf_dir))).select("user_id", "checkin_date").distinct()
+    days = _base(_logged(raw)).select("user_id", "checkin_date").distinct()
     month = Window.partitionBy("user_id", quota_month(F.col("checkin_date"))).orderBy("checkin_date")
     return (
         days.withColumn("checkin_order", F.row_number().over(month))
@@ -103,10 +99,10 @@ def daily_checkin(spark: SparkSession, sf_dir: str, cfg: EngineConfig) -> DataFr
     )
 
 
-def checkin_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def checkin_events_of(raw: DataFrame) -> DataFrame:
     """Log of the check-ins before the cut."""
     time = F.col("event_timestamp")
-    return _base(_logged(events(spark, sf_dir))).select(
+    return _base(_logged(raw)).select(
         "event_id",
         "user_id",
         "checkin_date",
@@ -165,7 +161,7 @@ def checkin_json() -> Column:
     )
 
 
-def damaged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def damaged_records_of(raw: DataFrame) -> DataFrame:
     """Every event as a raw record, most of them damaged by event type and
     by the range its ``value`` lies in."""
     kind = F.col("event_type")
@@ -210,6 +206,6 @@ def damaged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .otherwise(F.format_string('{"eventId":"E%s","userId":%s', number, user))
     )
-    return events(spark, sf_dir).select(
+    return raw.select(
         value.alias("value"), (F.col("event_id") * 10).alias("arrival_seq")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -51,18 +52,20 @@ def set_parallelism(spark: SparkSession, cfg: EngineConfig) -> SparkSession:
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="stampcard-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for data all executors share. A local
     session without one gets a temporary folder; a cluster must name its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(
-                "spark.checkpoint.dir is not set; name a folder all executors share"
-            )
-        root = tempfile.mkdtemp(prefix="stampcard-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if spark.sparkContext.master.startswith("local"):
+        return _local_folder()
+    raise ValueError("spark.checkpoint.dir is not set; name a folder all executors share")
 
 
 def job_path(spark: SparkSession, name: str) -> str:

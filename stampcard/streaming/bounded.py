@@ -52,10 +52,9 @@ def dedup_stream(spark: SparkSession, sf_dir: str, cfg: EngineConfig) -> DataFra
 
 
 def _new_ledger(spark: SparkSession, sf_dir: str, cfg: EngineConfig, root: str) -> FileLedger:
+    raw = W.events(spark, sf_dir)
     return FileLedger(spark, f"{root}/ledger").create(
-        W.users(spark, sf_dir),
-        W.daily_checkin(spark, sf_dir, cfg),
-        W.checkin_events(spark, sf_dir),
+        W.users(spark, sf_dir), W.daily_checkin_of(raw, cfg), W.checkin_events_of(raw)
     )
 
 

@@ -54,6 +54,21 @@ def test_shared_folder(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
 
 
+class _Session:
+    """A session that names no shared folder."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = self
+        self.master = master
+
+
+def test_only_a_local_session_may_lack_a_shared_folder():
+    assert job_path(_Session("local[4]"), "a").endswith("/stampcard/a")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        job_path(_Session("yarn"), "a")
+
+
 def test_parallelism_sets_the_shuffle_width(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     set_parallelism(spark, EngineConfig(parallelism=3))
