@@ -12,6 +12,7 @@ The rows are taken in arrival order, as if applied one by one:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -130,6 +131,7 @@ def apply_ledger(
     checkin_events: DataFrame,
     now: Column,
     on_missing: str = "fail",
+    cut: Callable[[DataFrame], DataFrame] | None = None,
 ) -> LedgerChanges:
     """Changes that ``processed`` makes to the ledger.
 
@@ -137,12 +139,16 @@ def apply_ledger(
     belongs to an unknown user. ``"quarantine"`` takes those rows out whole:
     they are neither applied nor logged.
 
-    Several tables are derived from ``processed``; pass a frame that was
-    written to a table where its plan is expensive.
+    Several tables are derived from ``processed`` and from the rows to apply.
+    Pass a ``processed`` that was written to a table where its plan is
+    expensive, and ``cut``, a function that writes a frame to a table and
+    returns it as written, where more than one of the tables is used.
     """
     if on_missing not in ("fail", "quarantine"):
         raise ValueError(f"unknown on_missing: {on_missing!r}")
     winners = day_winners(processed, daily_checkin)
+    if cut is not None:
+        winners = cut(winners)
     strangers = unknown_users(winners, users)
     if on_missing == "fail":
         first = strangers.select("user_id").head()
@@ -156,9 +162,7 @@ def apply_ledger(
         days = strangers.select(*DAY_KEY)
         rejected = to_apply(processed).join(days, DAY_KEY, "left_semi")
         applied = winners.join(days, DAY_KEY, "left_anti")
-        processed = processed.join(
-            rejected.select(*ROW_KEY), ROW_KEY, "left_anti"
-        )
+        processed = processed.join(rejected.select(*ROW_KEY), ROW_KEY, "left_anti")
     return LedgerChanges(
         daily_checkin=daily_rows(applied, now),
         user_points_history=history_rows(applied, now),

@@ -277,7 +277,15 @@ class LedgerJob(Job):
         LOG.info("batch %s: %s", batch.name, outcomes.get)
         now = time_literal(batch.now)
         users = matching(self.ledger.known_users(), batch.checkins, "id", "user_id")
-        changes = apply_ledger(processed, users, daily, logged, now, self.on_missing)
+        changes = apply_ledger(
+            processed,
+            users,
+            daily,
+            logged,
+            now,
+            self.on_missing,
+            cut=lambda rows: self.cut(rows, "applied"),
+        )
         if self.on_missing == "quarantine":
             changes.unknown_user_rows.write.mode("overwrite").parquet(
                 f"{self.state}/unknown_users/batch={batch.name}"

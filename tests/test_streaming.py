@@ -302,6 +302,19 @@ def test_unknown_users_are_put_aside(spark, tmp_path):
     assert [r.event_id for r in aside] == ["c"]
 
 
+def test_outcomes_are_logged(spark, tmp_path, caplog):
+    ledger = new_ledger(spark, tmp_path, daily=[(1, dt.date(2024, 1, d)) for d in (1, 2)], logged=["old"])
+    events = [("a", 1), ("b", 2), ("b", 2), ("old", 2)]
+    checkins = [Checkin(e, u, DAY, k) for k, (e, u) in enumerate(events)]
+    counts = "{'ACCEPT': 1, 'DUP_STATE': 1, 'DUP_LEDGER': 1, 'LIMIT': 1}"
+    with caplog.at_level("INFO"):
+        live_job(spark, f"{tmp_path}/live", ledger, Clock(day(0))).run(rows_of(spark, checkins), "q-0")
+        assert counts in caplog.text
+        caplog.clear()
+        LedgerJob(spark, CFG, ledger, f"{tmp_path}/state", clock=Clock(day(0))).run(rows_of(spark, checkins), "q-0")
+        assert counts in caplog.text
+
+
 def test_empty_batch(spark, tmp_path):
     ledger = new_ledger(spark, tmp_path)
     LedgerJob(spark, CFG, ledger, f"{tmp_path}/state", clock=Clock(day(0))).run(rows_of(spark, []), "q-0")
