@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -191,23 +190,24 @@ class BatchJournal:
     are done, and the clock it first ran under, so a repeat stamps equal
     times. One tiny file per step."""
 
+    DDL = "at timestamp_ntz"
+
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = f"{root.rstrip('/')}/batches"
+        empty = spark.createDataFrame([], self.DDL)
+        empty.write.mode("ignore").parquet(f"{self.root}/empty")
 
     def time_of(self, batch: str, step: str) -> dt.datetime | None:
         """The clock a step was noted with; None if it was not reached."""
-        path = f"{self.root}/{batch}.{step}"
-        try:
-            row = self.spark.read.schema("at timestamp_ntz").parquet(path).head()
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        # A pattern may match less than it names; a missing path is an error.
+        # Spark looks into a single path for a stream's log, but not into two.
+        pattern = f"{self.root}/{{empty,{batch}.{step}}}"
+        row = self.spark.read.schema(self.DDL).parquet(f"{self.root}/empty", pattern).head()
         return None if row is None else row.at
 
     def note(self, batch: str, step: str, at: dt.datetime) -> None:
-        one = self.spark.range(1, numPartitions=1).select(
+        one = self.spark.range(0, 1, 1, 1).select(
             F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz").alias("at")
         )
         one.write.mode("overwrite").parquet(f"{self.root}/{batch}.{step}")

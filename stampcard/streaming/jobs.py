@@ -109,12 +109,13 @@ class SeenEvents:
         since = now - self.ttl
         count = (now.date() - since.date()).days + 1
         days = [since.date() + dt.timedelta(days=n) for n in range(count)]
-        # Name the days, so that older folders are not even listed.
+        # Name the days, so that older folders are not even listed; the first
+        # day makes sure that there is one.
         names = ",".join(day.isoformat() for day in [FIRST_DAY, *days])
         rows = (
             self.spark.read.schema(f"{self.DDL}, day date, batch string")
             .option("basePath", self.root)
-            .parquet(f"{self.root}/day={{{names}}}")
+            .parquet(f"{self.root}/day={FIRST_DAY}", f"{self.root}/day={{{names}}}")
         )
         return (
             rows.filter(F.col("batch") != batch)
