@@ -221,31 +221,28 @@ class BatchJournal:
         return now
 
 
-# Statements that move one staged batch into the ledger tables, to be run in
-# one transaction by the database: Spark's JDBC writer only appends.
-MERGE_STATEMENTS = (
-    "UPDATE users u JOIN staged_user_points s ON s.user_id = u.id AND s.batch = :batch "
-    "SET u.total_points = u.total_points + s.points_added, u.updated_at = s.added_at",
-    "INSERT INTO daily_checkin (user_id, checkin_date, points_earned, checkin_order, created_at) "
-    "SELECT user_id, checkin_date, points_earned, checkin_order, created_at "
-    "FROM staged_daily_checkin WHERE batch = :batch",
-    "INSERT INTO user_points_history "
-    "(user_id, points, transaction_type, description, created_at) "
-    "SELECT user_id, points, transaction_type, description, created_at "
-    "FROM staged_user_points_history WHERE batch = :batch",
-    "INSERT IGNORE INTO checkin_events (event_id, user_id, checkin_date, event_timestamp, "
-    "`year_month`, points_earned, processed, processed_at, error_message, created_at, updated_at) "
-    "SELECT event_id, user_id, checkin_date, event_timestamp, `year_month`, points_earned, "
-    "processed, processed_at, error_message, created_at, updated_at "
-    "FROM staged_checkin_events WHERE batch = :batch",
-)
+def _insert_staged(table: str, verb: str) -> str:
+    names = ", ".join(f"`{name}`" for name in ledger_columns(table))
+    return f"{verb} {table} ({names}) SELECT {names} FROM staged_{table} WHERE batch = :batch"
+
+
+def merge_statements() -> list[str]:
+    """Statements that move one staged batch into the ledger tables, for the
+    database to run in one transaction: Spark's JDBC writer only appends."""
+    return [
+        "UPDATE users u JOIN staged_user_points s ON s.user_id = u.id AND s.batch = :batch "
+        "SET u.total_points = u.total_points + s.points_added, u.updated_at = s.added_at",
+        _insert_staged("daily_checkin", "INSERT INTO"),
+        _insert_staged("user_points_history", "INSERT INTO"),
+        _insert_staged("checkin_events", "INSERT IGNORE INTO"),
+    ]
 
 
 def stage_changes(changes: LedgerChanges, cfg: EngineConfig, now: Column, batch: str) -> None:
     """Append a batch's changes to ``staged_*`` tables over JDBC.
 
     A repeated batch appends again, so delete its rows (``batch = ...``)
-    before, and run ``MERGE_STATEMENTS`` once per batch after.
+    before, and run ``merge_statements()`` once per batch after.
     """
     frames = {
         "staged_user_points": changes.user_points.withColumn("added_at", now),

@@ -54,6 +54,14 @@ def test_shared_folder(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
 
 
+def test_merge_statements_name_the_ledger_columns():
+    users, daily, history, log = tables.merge_statements()
+    assert users.startswith("UPDATE users")
+    assert "staged_daily_checkin WHERE batch = :batch" in daily
+    assert "`transaction_type`" in history
+    assert log.startswith("INSERT IGNORE INTO checkin_events (`event_id`, ")
+
+
 class _Session:
     """A session that names no shared folder."""
 
