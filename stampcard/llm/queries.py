@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stampcard.llm.common import table
 from stampcard.llm.line_dedup import dedup_lines
+from stampcard.llm.minhash_join import near_duplicates
 from stampcard.llm.mixing import mix_sources
 
 
@@ -21,11 +22,16 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).drop("source")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
+    "op8_minhash_join": op8_minhash_join,
     "op9_mixing": op9_mixing,
 }
