@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stampcard.llm.common import table
+from stampcard.llm.common import crc_part, table
 from stampcard.llm.line_dedup import dedup_lines
 from stampcard.llm.minhash_join import near_duplicates
 from stampcard.llm.mixing import mix_sources
+from stampcard.llm.toxicity import ToxicityModel, fit_toxicity, score_toxicity
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,8 +31,29 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).drop("source")
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> ToxicityModel:
+    """Learned from the labelled documents that are not held out."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    train = docs.filter(crc_part(F.col("doc_id"), 5) > 0).join(labels.dropDuplicates(["doc_id"]), "doc_id")
+    return fit_toxicity(train)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, toxicity_model(spark, sf_dir))
+    return scored.select(
+        "doc_id",
+        (crc_part(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op8_minhash_join": op8_minhash_join,
     "op9_mixing": op9_mixing,
+    "op10_toxicity": op10_toxicity,
 }
