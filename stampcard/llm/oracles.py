@@ -1,5 +1,17 @@
 """SQL twins, written for DuckDB over the same tables."""
 
+WARC = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (
+  SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
+
 LINE_DEDUP = r"""
 WITH lines AS (
   SELECT doc_id, coalesce(source, chr(1) || 'none') AS site, line, pos
@@ -62,6 +74,7 @@ LEFT JOIN extra e ON s.source IS NOT DISTINCT FROM e.source AND s.point = e.poin
 """
 
 ORACLES = {
+    "op2_warc": WARC,
     "op4_line_dedup": LINE_DEDUP,
     "op9_mixing": MIXING,
 }

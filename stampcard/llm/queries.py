@@ -12,6 +12,17 @@ from stampcard.llm.line_dedup import dedup_lines
 from stampcard.llm.minhash_join import near_duplicates
 from stampcard.llm.mixing import mix_sources
 from stampcard.llm.toxicity import ToxicityModel, fit_toxicity, score_toxicity
+from stampcard.llm.warc import round_trip
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    records = round_trip(
+        pages.select(F.col("page_id").alias("id"), F.col("url").alias("uri"), F.col("html").cast("binary").alias("payload"))
+    )
+    return records.select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +63,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": op2_warc,
     "op4_line_dedup": op4_line_dedup,
     "op8_minhash_join": op8_minhash_join,
     "op9_mixing": op9_mixing,
