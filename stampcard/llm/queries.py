@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stampcard.llm.collision_ann import nearest_neighbours
 from stampcard.llm.common import crc_part, table
 from stampcard.llm.line_dedup import dedup_lines
 from stampcard.llm.minhash_join import near_duplicates
@@ -34,6 +35,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 def op8_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -65,6 +71,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op4_line_dedup": op4_line_dedup,
+    "op6_collision_ann": op6_collision_ann,
     "op8_minhash_join": op8_minhash_join,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
