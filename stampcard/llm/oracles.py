@@ -12,6 +12,20 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+HAMMING_TOPK = r"""
+WITH bits AS (
+  SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS i, unnest(embedding) AS x FROM embeddings),
+codes AS (
+  SELECT vec_id, bit_xor(CASE WHEN x > 0 THEN 1::UBIGINT << (i % 64) ELSE 0::UBIGINT END) AS code
+  FROM bits GROUP BY vec_id),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, bit_count(xor(q.code, c.code))::INTEGER AS distance
+  FROM codes q JOIN codes c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INTEGER AS rank FROM pairs)
+SELECT query_id, rank, vec_id, distance FROM ranked WHERE rank <= 10
+"""
+
 LINE_DEDUP = r"""
 WITH lines AS (
   SELECT doc_id, coalesce(source, chr(1) || 'none') AS site, line, pos
@@ -75,6 +89,7 @@ LEFT JOIN extra e ON s.source IS NOT DISTINCT FROM e.source AND s.point = e.poin
 
 ORACLES = {
     "op2_warc": WARC,
+    "op3_hamming_topk": HAMMING_TOPK,
     "op4_line_dedup": LINE_DEDUP,
     "op9_mixing": MIXING,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stampcard.llm.collision_ann import nearest_neighbours
 from stampcard.llm.common import crc_part, table
+from stampcard.llm.hamming_topk import nearest_codes, sign_code
 from stampcard.llm.line_dedup import dedup_lines
 from stampcard.llm.minhash_join import near_duplicates
 from stampcard.llm.mixing import mix_sources
@@ -26,6 +27,14 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sign codes of the embeddings; every twentieth is a query."""
+    codes = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), sign_code(F.col("embedding")).alias("code")
+    )
+    return nearest_codes(codes, codes.filter("id % 20 = 0")).withColumnRenamed("id", "vec_id")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -70,6 +79,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
+    "op3_hamming_topk": op3_hamming_topk,
     "op4_line_dedup": op4_line_dedup,
     "op6_collision_ann": op6_collision_ann,
     "op8_minhash_join": op8_minhash_join,
