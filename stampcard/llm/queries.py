@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stampcard.llm.collision_ann import nearest_neighbours
 from stampcard.llm.common import crc_part, table
 from stampcard.llm.hamming_topk import nearest_codes, sign_code
+from stampcard.llm.language_id import fit_languages, identify
 from stampcard.llm.line_dedup import dedup_lines
 from stampcard.llm.minhash_join import near_duplicates
 from stampcard.llm.mixing import mix_sources
@@ -44,6 +45,13 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_part(F.col("doc_id"), 3) == 1
+    model = fit_languages(docs.filter(~held_out).select("text", "lang"))
+    return identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
 def op6_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return nearest_neighbours(vectors, vectors.filter("vec_id % 50 = 0"))
@@ -81,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_hamming_topk": op3_hamming_topk,
     "op4_line_dedup": op4_line_dedup,
+    "op5_language_id": op5_language_id,
     "op6_collision_ann": op6_collision_ann,
     "op8_minhash_join": op8_minhash_join,
     "op9_mixing": op9_mixing,
