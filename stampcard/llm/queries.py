@@ -14,10 +14,21 @@ from stampcard.llm.language_id import fit_languages, identify
 from stampcard.llm.line_dedup import dedup_lines
 from stampcard.llm.minhash_join import near_duplicates
 from stampcard.llm.mixing import mix_sources
+from stampcard.llm.piece_encoding import encode, read_model
 from stampcard.llm.toxicity import ToxicityModel, fit_toxicity, score_toxicity
 from stampcard.llm.warc import round_trip
 
 
+#: A public BPE model; the path is a parameter wherever it is used.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = PIECE_MODEL) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = encode(docs, read_model(model_path), verify=True)
+    return encoded.select("doc_id", F.size("piece_ids").alias("n_pieces"), "piece_ids", "same_text")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     records = round_trip(
@@ -86,6 +97,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
     "op3_hamming_topk": op3_hamming_topk,
     "op4_line_dedup": op4_line_dedup,

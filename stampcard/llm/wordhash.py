@@ -50,6 +50,17 @@ def _tables_for(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _tables(size)
 
 
+class Stretches:
+    """Hashes of stretches of a sequence, from the values of its elements."""
+
+    def __init__(self, values: np.ndarray) -> None:
+        power, self._inverse = _tables_for(len(values) + 1)
+        self._sums = np.concatenate([[np.uint64(0)], np.cumsum(values * power[: len(values)], dtype=np.uint64)])
+
+    def between(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return mix((self._sums[stop] - self._sums[start]) * self._inverse[start])
+
+
 @cache
 def _byte_values() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
@@ -149,19 +160,15 @@ def words_of(
         lengths = np.array([len(piece) + 1 for _, _, piece in batch])
         first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         piece_of = np.searchsorted(first, start, "right") - 1
-        power, inverse = _tables_for(len(raw))
-        values = _byte_values()[raw if fold is None else fold[raw]]
-        values *= power[: len(raw)]
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(values, dtype=np.uint64)])
-        stretch = lambda stop: mix((sums[stop] - sums[start]) * inverse[start])
+        letters = Stretches(_byte_values()[raw if fold is None else fold[raw]])
         shift = np.array([at for _, at, _ in batch]) - first
         out.append(
             (
                 np.array([row for row, _, _ in batch])[piece_of],
-                stretch(end),
+                letters.between(start, end),
                 start + shift[piece_of],
                 end + shift[piece_of],
-                [stretch(np.minimum(start + n, end)) for n in prefix_lengths],
+                [letters.between(start, np.minimum(start + n, end)) for n in prefix_lengths],
             )
         )
     if not out:
