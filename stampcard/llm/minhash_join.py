@@ -10,11 +10,12 @@ has one, deeper nodes have 1 / similarity on average). A node is settled
 * else by its children; at the last level, by comparing it exhaustively in
   blocks that many tasks share.
 
-In every node each text is first compared with the node's least text. That
+In every node each text is first compared with a few pivots of the node. That
 links most of a large group of near copies in time linear in its size, and
 settles nodes of such copies, so no group is ever expanded into all its pairs.
-Independent trees raise the recall. Signatures only choose the pairs: a link is
-confirmed on the full sets of both texts.
+Independent trees raise the recall. Signatures, and sketches of more minwise
+hashes cut to a byte each, only choose the pairs: a link is confirmed on the
+full sets of both texts.
 
 Rows with equal text are one class from the start.
 
@@ -33,7 +34,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stampcard.llm.common import salted_lookup, text_key, written
@@ -49,12 +50,16 @@ class JoinPlan:
     width: int = 5
     #: Link where ``100 * intersection >= percent * union``.
     percent: int = 75
-    coordinates: int = 64
+    coordinates: int = 32
+    #: Bytes of the sketch that chooses pairs.
+    sketch: int = 192
     #: Chance for a pair at the threshold to be found in some tree.
     recall: float = 0.99999
     #: Nodes up to this size are compared exhaustively; also the size of blocks.
-    leaf: int = 128
+    leaf: int = 512
     levels: int = 4
+    #: Rows that one task compares, about.
+    batch: int = 16_384
 
     @property
     def similarity(self) -> float:
@@ -68,15 +73,44 @@ class JoinPlan:
 
     @property
     def least_agreement(self) -> int:
-        """Equal coordinates, five standard deviations below the expected."""
-        s, n = self.similarity, self.coordinates
-        return max(1, math.floor(n * s - 5 * math.sqrt(n * s * (1 - s))))
+        """Equal bytes of two sketches, 4.5 standard deviations below what the
+        threshold lets expect."""
+        s, n = self.similarity, self.sketch
+        return max(1, math.floor(n * s - 4.5 * math.sqrt(n * s * (1 - s))))
+
+
+#: Orders of the ids by which a node draws its pivots: the least id after
+#: exclusive or with each of these.
+PIVOT_ORDERS = (0, (1 << 62) - 1, 0x1555555555555555, 0x2AAAAAAAAAAAAAAA)
+
+#: Bits of the filter that keeps rows which are not needed out of a shuffle. Its
+#: size is fixed, so it can be broadcast; what it lets through by chance is
+#: dropped by the join behind it.
+FILTER_BITS = 1 << 24
+
+
+def _likely_in(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``c`` is not in ``ids``."""
+    slot = F.pmod(F.xxhash64("c"), F.lit(FILTER_BITS)) + 1
+    bits = (
+        ids.select(slot.alias("slot"))
+        .groupBy(F.bitmap_bucket_number("slot").alias("__bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("__bits"))
+    )
+    place = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring("__bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (
+        rows.withColumn("__bucket", F.bitmap_bucket_number(slot))
+        .join(F.broadcast(bits), "__bucket")
+        .filter(F.getbit(byte, (place % 8).cast("int")) == 1)
+        .drop("__bucket", "__bits")
+    )
 
 
 def signatures(docs: DataFrame, plan: JoinPlan) -> DataFrame:
-    """``d, k1, k2`` with ``n_shingles`` and ``sig``, the minwise hashes."""
-    factors = mix(np.arange(1, plan.coordinates + 1, dtype=np.uint64)) | np.uint64(1)
-    width = plan.width
+    """``d, k1, k2`` with ``n_shingles``, the signature ``sig`` and the sketch."""
+    factors = mix(np.arange(1, plan.coordinates + plan.sketch + 1, dtype=np.uint64)) | np.uint64(1)
+    width, coordinates = plan.width, plan.coordinates
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,11 +120,15 @@ def signatures(docs: DataFrame, plan: JoinPlan) -> DataFrame:
                 counts = np.bincount(row, minlength=high - low)
                 filled = np.flatnonzero(counts)
                 begin = np.concatenate([[0], np.cumsum(counts[filled])[:-1]]).astype(np.int64)
-                sig = np.empty((len(filled), len(factors)), dtype=np.int32)
+                sig = np.empty((len(filled), coordinates), dtype=np.int32)
+                sketch = np.zeros((high - low, plan.sketch), dtype=np.uint8)
                 for i, factor in enumerate(factors if len(filled) else []):
                     least = np.minimum.reduceat(((shingle * factor) >> np.uint64(32)).astype(np.uint32), begin)
-                    sig[:, i] = least.view(np.int32)
-                offsets = np.concatenate([[0], np.cumsum((counts > 0) * len(factors))]).astype(np.int32)
+                    if i < coordinates:
+                        sig[:, i] = least.view(np.int32)
+                    else:
+                        sketch[filled, i - coordinates] = least & 0xFF
+                offsets = np.concatenate([[0], np.cumsum((counts > 0) * coordinates)]).astype(np.int32)
                 part = batch.slice(low, high - low)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -99,16 +137,23 @@ def signatures(docs: DataFrame, plan: JoinPlan) -> DataFrame:
                         part.column("k2"),
                         pa.array(counts.astype(np.int64)),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig.ravel())),
+                        pa.array([row.tobytes() for row in sketch], pa.binary()),
                     ],
-                    names=["d", "k1", "k2", "n_shingles", "sig"],
+                    names=["d", "k1", "k2", "n_shingles", "sig", "sketch"],
                 )
 
-    return docs.mapInArrow(signed, "d bigint, k1 bigint, k2 bigint, n_shingles bigint, sig array<int>")
+    schema = "d bigint, k1 bigint, k2 bigint, n_shingles bigint, sig array<int>, sketch binary"
+    return docs.mapInArrow(signed, schema)
+
+
+def _sketches(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    values = column.to_pylist()
+    return np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1)
 
 
-def _agreement(a: Column, b: Column) -> Column:
-    same = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
-    return F.aggregate(same, F.lit(0), lambda n, x: n + x)
+def _similar_sizes(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Sets whose sizes alone allow the similarity."""
+    return 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
 
 
 class _Search:
@@ -128,22 +173,34 @@ class _Search:
         )
 
     def alike(self, pairs: DataFrame) -> DataFrame:
-        """Pairs ``a, b`` whose signatures agree often enough."""
-        sig = self.classes.select("c", "sig")
-        return (
-            pairs.join(sig.select(F.col("c").alias("b"), F.col("sig").alias("sig_b")), "b")
-            .join(sig.select(F.col("c").alias("a"), F.col("sig").alias("sig_a")), "a")
-            .filter(_agreement(F.col("sig_a"), F.col("sig_b")) >= self.plan.least_agreement)
-            .select("a", "b")
+        """Pairs ``a, b`` whose sizes and sketches allow a link."""
+        plan, least = self.plan, self.plan.least_agreement
+        ids = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c")))
+        known = _likely_in(self.classes.select("c", "n_shingles", "sketch"), ids)
+        side = lambda x: known.select(
+            F.col("c").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}")
         )
 
+        def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    same = (_sketches(batch.column("sketch_a")) == _sketches(batch.column("sketch_b"))).sum(axis=1)
+                    fits = _similar_sizes(*(batch.column(n).to_numpy() for n in ("n_a", "n_b")), plan.percent)
+                    yield batch.select(["a", "b"]).filter(pa.array((same >= least) & fits))
+
+        both = pairs.join(side("b"), "b").join(side("a"), "a")
+        return both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(filtered, "a bigint, b bigint")
+
     def confirm(self, pairs: DataFrame) -> None:
         """Check pairs on the full sets, keep the links, and bring the
         components up to date."""
         pairs = written(pairs.distinct(), "join-pairs")
         needed = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
         texts = written(
-            self.texts.join(needed, "c", "left_semi").groupBy("c", "k1", "k2").agg(F.first("text").alias("text")),
+            _likely_in(self.texts, needed)
+            .join(needed, "c", "left_semi")
+            .groupBy("c", "k1", "k2")
+            .agg(F.first("text").alias("text")),
             "join-texts",
         )
         both = pairs.join(texts.select(F.col("c").alias("b"), F.col("text").alias("text_b")), "b").join(
@@ -188,30 +245,44 @@ class _Search:
             F.sequence(F.lit(0), blocks - 1),
             lambda i: F.struct(F.least(block, i).alias("x"), F.greatest(block, i).alias("y")),
         )
+        spread = rows.select("node", "c", block.alias("block"), F.explode(met).alias("at"))
+        tasks = max(1, math.ceil(rows.count() / plan.batch))
         dealt = (
-            self.labelled(rows.select("node", "c", block.alias("block"), F.explode(met).alias("at")))
-            .join(self.classes.select("c", "sig"), "c")
-            .select("node", "at.x", "at.y", "block", "c", "label", "sig")
+            self.labelled(spread)
+            .join(_likely_in(self.classes.select("c", "n_shingles", "sketch"), rows.select("c")), "c")
+            .select(
+                F.pmod(F.xxhash64("node", "at"), F.lit(tasks)).alias("task"),
+                *("node", "at.x", "at.y", "block", "c", "label", "n_shingles", "sketch"),
+            )
         )
         least = plan.least_agreement
 
-        def pairs(key: tuple, table: pa.Table) -> pa.Table:
-            c, label = table["c"].to_numpy(), table["label"].to_numpy()
-            sig = table["sig"].combine_chunks().flatten().to_numpy().reshape(len(c), -1)
-            block = table["block"].to_numpy()
-            left = np.flatnonzero(block == key[1].as_py())
-            right = left if key[1] == key[2] else np.flatnonzero(block == key[2].as_py())
-            out_a, out_b = [], []
-            for i in left:
-                same = (sig[right] == sig[i]).sum(axis=1)
-                hits = right[(same >= least) & (label[right] != label[i])]
-                if key[1] == key[2]:
-                    hits = hits[hits > i]
-                out_a.append(np.minimum(c[hits], c[i]))
-                out_b.append(np.maximum(c[hits], c[i]))
-            return pa.table({"a": np.concatenate(out_a or [c[:0]]), "b": np.concatenate(out_b or [c[:0]])})
-
-        return dealt.groupBy("node", "x", "y").applyInArrow(pairs, "a bigint, b bigint")
+        def pairs(table: pa.Table) -> pa.Table:
+            node, x, y, block, c, label, size = (
+                table[n].to_numpy() for n in ("node", "x", "y", "block", "c", "label", "n_shingles")
+            )
+            sketch = _sketches(table["sketch"])
+            order = np.lexsort((c, y, x, node))
+            new = np.ones(len(order), dtype=bool)
+            for column in (node, x, y):
+                new[1:] &= column[order[1:]] == column[order[:-1]]
+            new[1:] = ~new[1:]
+            out_a, out_b = [c[:0]], [c[:0]]
+            for group in np.split(order, np.flatnonzero(new)[1:]):
+                first = group[block[group] == x[group[0]]]
+                second = group[block[group] == y[group[0]]]
+                for place, i in enumerate(first):
+                    others = second[place + 1 :] if x[i] == y[i] else second
+                    others = others[
+                        (label[others] != label[i]) & _similar_sizes(size[others], size[i], plan.percent)
+                    ]
+                    if len(others):
+                        hits = others[(sketch[others] == sketch[i]).sum(axis=1) >= least]
+                        out_a.append(np.minimum(c[hits], c[i]))
+                        out_b.append(np.maximum(c[hits], c[i]))
+            return pa.table({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+
+        return dealt.groupBy("task").applyInArrow(pairs, "a bigint, b bigint")
 
     def run(self) -> None:
         plan = self.plan
@@ -223,18 +294,20 @@ class _Search:
         rows = self.classes.select("c", F.explode(F.array(*roots)).alias("node"))
         small: list[DataFrame] = []
         for level in range(1, plan.levels + 1):
-            nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least")).filter("n > 1")
+            pivots = F.array(*[F.min(F.col("c").bitwiseXOR(F.lit(o))).bitwiseXOR(F.lit(o)) for o in PIVOT_ORDERS])
+            nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), pivots.alias("pivots")).filter("n > 1")
             live = written(
-                rows.join(written(nodes, "join-nodes"), "node").select("node", "c", "n", "least"), f"join-level{level}"
+                rows.join(written(nodes, "join-nodes"), "node").select("node", "c", "n", "pivots"), f"join-level{level}"
             )
-            star = self.labelled(live.select("c", "least").filter("c != least").distinct())
+            star = live.select("c", F.explode("pivots").alias("p")).filter("c != p")
+            star = star.select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
             if self.labels is not None:
-                names = self.labels.select(F.col("id").alias("least"), F.col("label").alias("least_label"))
-                star = star.join(names, "least", "left").filter(
-                    F.col("label") != F.coalesce("least_label", "least")
-                )
-            self.confirm(self.alike(star.select(F.col("least").alias("a"), F.col("c").alias("b"))))
-            named = written(self.labelled(live), "join-named")
+                for side in ("a", "b"):
+                    named = self.labelled(star.withColumnRenamed(side, "c"))
+                    star = named.withColumnsRenamed({"c": side, "label": f"label_{side}"})
+                star = star.filter("label_a != label_b").select("a", "b")
+            self.confirm(self.alike(written(star, "join-star")))
+            named = written(self.labelled(live.select("node", "c", "n")), "join-named")
             mixed = (
                 named.groupBy("node")
                 .agg(F.min("label").alias("low"), F.max("label").alias("high"))
@@ -242,6 +315,8 @@ class _Search:
                 .select("node")
             )
             open_rows = written(named.join(written(mixed, "join-mixed"), "node", "left_semi"), f"join-open{level}")
+            # Both texts of a node of two have been compared.
+            open_rows = open_rows.filter("n > 2")
             leaf = open_rows if level == plan.levels else open_rows.filter(F.col("n") <= plan.leaf)
             small.append(leaf.select("node", "c", "n"))
             large = open_rows.filter(F.col("n") > plan.leaf)
@@ -252,7 +327,7 @@ class _Search:
             child = lambda k: F.xxhash64("node", draw(k), F.element_at(sig, draw(k)))
             extra = F.pmod(F.xxhash64("node", F.lit(0)), F.lit(1000)) < int(1000 * (1 / plan.similarity - 1))
             children = F.when(extra, F.array(child(1), child(2))).otherwise(F.array(child(1)))
-            rows = large.join(self.classes.select("c", "sig"), "c").select(
+            rows = large.join(_likely_in(self.classes.select("c", "sig"), large.select("c")), "c").select(
                 "c", F.explode(children).alias("child")
             ).select("c", F.col("child").alias("node"))
         self.confirm(self.compare(reduce(DataFrame.unionByName, small)))
@@ -272,7 +347,10 @@ def near_duplicates(
     classes = written(
         signed.filter("n_shingles > 0")
         .groupBy("k1", "k2")
-        .agg(F.min(own_id).alias("c"), F.first("sig").alias("sig")),
+        .agg(
+            F.min(own_id).alias("c"),
+            *[F.first(n).alias(n) for n in ("n_shingles", "sig", "sketch")],
+        ),
         "join-classes",
     )
     search = _Search(rows.select(own_id.alias("c"), "k1", "k2", "text"), classes, plan)

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stampcard.llm.collision_ann import nearest_neighbours
-from stampcard.llm.common import crc_part, table
+from stampcard.llm.common import crc_part, table, written
 from stampcard.llm.hamming_topk import nearest_codes, sign_code
 from stampcard.llm.language_id import fit_languages, identify
 from stampcard.llm.line_dedup import dedup_lines
 from stampcard.llm.minhash_join import near_duplicates
 from stampcard.llm.mixing import mix_sources
 from stampcard.llm.piece_encoding import encode, read_model
+from stampcard.llm.secret_scan import SecretPlan, candidates, dictionary, format_labels, score_findings, train_forest
 from stampcard.llm.toxicity import ToxicityModel, fit_toxicity, score_toxicity
 from stampcard.llm.warc import round_trip
 
@@ -68,6 +69,19 @@ def op6_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(vectors, vectors.filter("vec_id % 50 = 0"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings in all documents; the forest learns from the findings of four
+    fifths of them whose format leaves no doubt."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("path"), "text")
+    held_out = crc_part(F.col("doc_id"), 5) == 0
+    words = dictionary(docs.filter(~held_out).select("text"), SecretPlan())
+    findings = written(candidates(docs, words), "secret-findings")
+    forest = train_forest(format_labels(findings).filter(~held_out))
+    return score_findings(findings, forest).select(
+        "doc_id", "begin", F.octet_length("value").alias("n_bytes"), "name", F.round("score", 9).alias("score"), "is_secret"
+    )
+
+
 def op8_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -103,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_language_id": op5_language_id,
     "op6_collision_ann": op6_collision_ann,
+    "op7_secret_scan": op7_secret_scan,
     "op8_minhash_join": op8_minhash_join,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
