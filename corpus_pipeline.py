@@ -1,25 +1,80 @@
-"""The corpus pipeline: stages of the training-data operators, applied in order."""
+"""The corpus pipeline: five stages of the training-data operators in order.
+
+Each stage takes the documents its predecessor kept, with the columns of
+``documents``, and returns documents with the same columns; the last one adds
+the pieces. Columns beyond ``doc_id, text, lang, source`` are passed through.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stampcard.llm.common import table, written
 from stampcard.llm.line_dedup import dedup_lines
+from stampcard.llm.minhash_join import near_duplicates
+from stampcard.llm.mixing import mix_sources
+from stampcard.llm.piece_encoding import encode, read_model
+from stampcard.llm.queries import PIECE_MODEL, toxicity_model
+from stampcard.llm.toxicity import score_toxicity
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that are scored toxic. Null and empty texts stay."""
+    rows = docs.select(F.struct(*docs.columns).alias("__doc"), F.col("text").alias("__text"))
+    scored = score_toxicity(rows, toxicity_model(spark, sf_dir), "__text")
+    return scored.filter("score < 0.5").select("__doc.*")
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take out lines that many sources share."""
+    """Take lines that many sources share out of all documents but the first."""
     return dedup_lines(docs).select(docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("line_dedup", line_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near duplicates, and one row of each
+    document; documents without words or without an id stay as they are."""
+    verdicts = written(near_duplicates(docs), "pipeline-verdicts")
+    kept = verdicts.filter("kept AND doc_id IS NOT NULL AND n_shingles > 0").select("doc_id").distinct()
+    word = F.regexp_instr("text", F.lit(r"[^\x20\x09-\x0D]")) > 0
+    bare = F.col("text").isNull() | ~word | F.col("doc_id").isNull()
+    chosen = docs.filter(~bare).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return chosen.select(docs.columns).unionByName(docs.filter(bare))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat or leave out documents, so that the sources meet their targets."""
+    taken = mix_sources(docs).filter("taken > 0")
+    times = taken.select("doc_id", F.col("source").alias("__source"), "size", "taken").distinct()
+    times = written(times.withColumn("__times", (F.col("taken") / F.col("size")).cast("int")), "pipeline-times")
+    once = times.groupBy("doc_id", "__source").agg(F.max("__times").alias("__times"))
+    joined = docs.join(
+        once.withColumnRenamed("doc_id", "__id"),
+        F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")),
+    )
+    filled = joined.filter(F.regexp_instr("text", F.lit(r"[^\x20\x09-\x0D]")) > 0)
+    return filled.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(docs.columns)
+
+
+def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Encode the texts; ``same_text`` tells that decoding gives them back."""
+    return encode(docs, read_model(PIECE_MODEL), verify=True)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("mixing", mixing),
+    ("piece_encoding", piece_encoding),
+]
 
-#: SQL cannot express the classifier and the near-duplicate search.
+#: SQL can express neither the classifier nor the encoding; the stages are
+#: tested against brute-force versions instead.
 ORACLE_SQL = None
 
 
