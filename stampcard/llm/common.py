@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stampcard.session import scratch_path, tune
 
@@ -27,6 +28,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def extended(df: DataFrame, fields: str) -> tuple[DataFrame, StructType]:
+    """``df`` without columns of the new fields' names, and its schema with
+    the new fields: what an operator adds replaces columns of that name."""
+    new = StructType.fromDDL(fields)
+    rest = df.drop(*new.names)
+    return rest, StructType(rest.schema.fields + new.fields)
+
+
 def text_key(*columns: Column) -> list[Column]:
     """Two 64-bit hashes of the columns' values, as ``k1`` and ``k2``."""
     return [

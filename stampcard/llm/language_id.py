@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stampcard.llm.common import written
+from stampcard.llm.common import extended, written
 from stampcard.llm.wordhash import groups, mix
 
 UNKNOWN = "und"
@@ -205,14 +205,15 @@ def fit_languages(train: DataFrame, plan: LanguagePlan = LanguagePlan()) -> Lang
 
 def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
     """``docs`` without its text, with ``lang_pred`` and ``score``."""
-    rest = docs.drop(text_column)
+    text = docs[text_column]
+    rest, schema = extended(docs.drop(text_column), "lang_pred string, score double")
     names = rest.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            texts = _lower(batch.column(text_column))
+            texts = _lower(batch.column(batch.num_columns - 1))
             for low, high in groups(texts):
                 n = high - low
                 if model.names:
@@ -230,5 +231,4 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text") -
                     names=[*names, "lang_pred", "score"],
                 )
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rest.schema.fields)
-    return docs.select(*names, text_column).mapInArrow(identified, f"{fields}lang_pred string, score double")
+    return docs.select(*names, text).mapInArrow(identified, schema)

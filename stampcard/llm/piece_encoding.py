@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from stampcard.llm.common import extended
 from stampcard.llm.wordhash import Stretches, mix
 
 #: Texts are encoded in batches of about so many characters.
@@ -430,6 +431,7 @@ def encode(docs: DataFrame, model: PieceModel, text_column: str = "text", verify
     """``docs`` with ``piece_ids``; with ``verify`` also ``same_text``, whether
     decoding the ids gives the text back (null for a null text)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    docs, schema = extended(docs, f"piece_ids array<int>{', same_text boolean' * verify}")
     names = docs.columns
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -451,23 +453,22 @@ def encode(docs: DataFrame, model: PieceModel, text_column: str = "text", verify
                     columns.append(pa.array(same, pa.bool_()))
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, "piece_ids", *["same_text"] * verify])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(encoded, f"{fields}, piece_ids array<int>{', same_text boolean' * verify}")
+    return docs.mapInArrow(encoded, schema)
 
 
 def decode(docs: DataFrame, model: PieceModel, ids_column: str = "piece_ids") -> DataFrame:
     """``docs`` with ``decoded``, the text of the ids."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    docs, schema = extended(docs, "decoded string")
     names = docs.columns
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.value.encoder
         for batch in batches:
-            runs = [x for x in batch.column(ids_column).to_pylist()]
+            runs = batch.column(ids_column).to_pylist()
             flat = np.array([i for x in runs for i in x or []], dtype=np.int64)
             texts = encoder.decode(flat, np.array([len(x or []) for x in runs], dtype=np.int64))
             out = [None if x is None else t.decode("utf-8", "replace") for x, t in zip(runs, texts)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*names, "decoded"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(decoded, f"{fields}, decoded string")
+    return docs.mapInArrow(decoded, schema)

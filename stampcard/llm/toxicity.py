@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stampcard.llm.common import written
+from stampcard.llm.common import extended, written
 from stampcard.llm.wordhash import groups, mix, not_alphanumeric, shingles_of, words_of
 
 PASSAGE = "array<struct<first_word:int,last_word:int,score:double,p_value:double>>"
@@ -284,14 +284,15 @@ def fit_toxicity(train: DataFrame, plan: ToxicityPlan = ToxicityPlan()) -> Toxic
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_column: str = "text") -> DataFrame:
     """``docs`` without its text, with ``score``, and ``passages``: all
     significant segments by word numbers."""
-    rest = docs.drop(text_column)
+    text = docs[text_column]
+    rest, schema = extended(docs.drop(text_column), f"score double, passages {PASSAGE}")
     names = rest.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            texts = _lower(batch.column(text_column))
+            texts = _lower(batch.column(batch.num_columns - 1))
             for low, high in groups(texts):
                 part = batch.slice(low, high - low).select(names)
                 scans = list(_scan(texts[low:high], model))
@@ -318,5 +319,4 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_column: str = "te
                     names=[*names, "score", "passages"],
                 )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields)
-    return docs.select(*names, text_column).mapInArrow(scored, f"{fields}{', ' if fields else ''}score double, passages {PASSAGE}")
+    return docs.select(*names, text).mapInArrow(scored, schema)
