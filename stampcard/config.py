@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 # Default ladder, quota, state lifetime, checkpoint interval and
 # parallelism. Results depend on the first three.
@@ -31,7 +31,11 @@ def parse_points_sequence(text: str) -> tuple[int, ...]:
     bad = [item for item in items if not _INTEGER.fullmatch(item.strip())]
     if bad:
         raise ValueError(f"points sequence holds a non-integer: {bad[0]!r}")
-    return tuple(int(item) for item in items)
+    ladder = tuple(int(item) for item in items)
+    large = [points for points in ladder if not -(1 << 31) <= points < 1 << 31]
+    if large:
+        raise ValueError(f"points sequence holds a number beyond 32 bits: {large[0]}")
+    return ladder
 
 
 @dataclass(frozen=True)
@@ -43,7 +47,7 @@ class EngineConfig:
 
     jdbc_url: str = "jdbc:mysql://localhost:3306/checkins"
     jdbc_username: str = ""
-    jdbc_password: str = ""
+    jdbc_password: str = field(default="", repr=False)
 
     checkpoint_interval_ms: int = DEFAULT_CHECKPOINT_INTERVAL_MS
     parallelism: int = DEFAULT_PARALLELISM

@@ -4,9 +4,10 @@
         --kafka.topic checkin.raw --points.sequence 1,2,3 --max.checkin.per.month 7
 
 All options have defaults; their names are the keys of ``OPTION_FIELDS``. The
-stream's checkpoint and state lie under the session's ``spark.checkpoint.dir``
-in a folder named after ``--job.name``, so starting the job again under the
-same name goes on where it stopped.
+stream's checkpoint and state lie under the session's ``spark.checkpoint.dir``,
+which must be set, in a folder named after ``--job.name``, so starting the job
+again under the same name goes on where it stopped. The shuffle width is the
+session's unless ``--parallelism`` is given.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from stampcard.config import OPTION_FIELDS, EngineConfig
-from stampcard.session import job_path, set_parallelism, tune
+from stampcard.session import lasting_path, set_parallelism, tune
 from stampcard.sources import kafka
 from stampcard.sources.tables import JdbcLedger
 from stampcard.streaming.jobs import LiveJob, kafka_sink, start_live_stream
@@ -49,8 +50,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parse(argv)
     cfg = config_of(args)
     spark = SparkSession.builder.appName(getattr(args, "job.name")).getOrCreate()
-    set_parallelism(tune(spark, streaming=True), cfg)
-    root = job_path(spark, getattr(args, "job.name"))
+    tune(spark, streaming=True)
+    if args.parallelism is not None:
+        # The live job keeps no keyed state, so the cluster's width is as good.
+        set_parallelism(spark, cfg)
+    root = lasting_path(spark, getattr(args, "job.name"))
     job = LiveJob(
         spark,
         cfg,

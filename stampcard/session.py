@@ -73,6 +73,14 @@ def job_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/stampcard/{name}"
 
 
+def lasting_path(spark: SparkSession, name: str) -> str:
+    """As ``job_path``, for jobs that go on in another process: a temporary
+    folder will not do, so the session must name its shared folder."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        raise ValueError("spark.checkpoint.dir is not set; name a lasting folder all executors share")
+    return job_path(spark, name)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder for a table that only cuts a plan."""
     return f"{shared_folder(spark)}/stampcard/{name}-{uuid.uuid4().hex}"

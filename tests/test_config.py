@@ -41,3 +41,9 @@ def test_unknown_modes_are_refused():
         EngineConfig(id_mode="other")
     with pytest.raises(ValueError):
         EngineConfig(points_ladder=())
+
+
+def test_ladder_values_fit_32_bits_and_the_password_is_not_shown():
+    with pytest.raises(ValueError):
+        parse_points_sequence("1,2147483648")
+    assert "secret" not in repr(EngineConfig(jdbc_password="secret"))

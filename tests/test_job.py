@@ -3,7 +3,7 @@ import pytest
 from stampcard import EngineConfig
 from stampcard.config import OPTION_FIELDS
 from stampcard.job import config_of, parse
-from stampcard.session import job_path, scratch_path, set_parallelism
+from stampcard.session import job_path, lasting_path, scratch_path, set_parallelism
 from stampcard.sources import kafka, tables
 
 
@@ -82,3 +82,8 @@ def test_parallelism_sets_the_shuffle_width(spark):
     set_parallelism(spark, EngineConfig(parallelism=3))
     assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_the_command_needs_a_lasting_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        lasting_path(_Session("local[4]"), "a")
