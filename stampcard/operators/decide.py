@@ -8,11 +8,16 @@ batch, an event is
 * else ``LIMIT`` if the user's month is full; it is *not* marked,
 * else ``ACCEPT``; it is marked.
 
-Whether a copy marks depends only on its event id, user and quota month, so a
-copy is ``DUP_STATE`` exactly if it arrived after the earliest marking copy.
-``accept`` needs only that earliest copy and takes it in one pass over the full
-records. ``decide`` keeps every row: it works out one narrow row per (user,
-event id, month), the verdict, and joins it back to the records.
+In snapshot mode a month is full or not for the whole batch, so whether a copy
+marks depends only on its event id, user and quota month, and a copy is
+``DUP_STATE`` exactly if it arrived after the earliest marking copy. ``accept``
+needs only that earliest copy and takes it in one pass over the full records.
+``decide`` keeps every row: it works out one narrow row per (user, event id,
+month), the verdict, and joins it back to the records.
+
+In sequential mode accepted events fill the month for later ones, and a copy
+that a full month rejects leaves the event free for a copy in another month.
+``settle`` finds the outcome of that on the verdicts, see there.
 """
 
 from __future__ import annotations
@@ -31,6 +36,10 @@ from stampcard.operators.lookups import (
     new_events,
     with_month_count,
 )
+from stampcard.session import scratch_path
+
+#: Writes a frame to a table and returns it as written.
+Cut = Callable[[DataFrame], DataFrame]
 
 EVENT_KEY = ["user_id", "event_id"]
 COPY_KEY = ["user_id", "event_id", "quota_month"]
@@ -79,38 +88,66 @@ def verdicts(
     )
 
 
-def assign_order(candidates: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Add ``checkin_order`` to accepted candidates; over-quota rows drop out.
+def settle(ruled: DataFrame, cfg: EngineConfig, cut: Cut) -> DataFrame:
+    """Verdicts of sequential mode: ``first_mark`` becomes the arrival of the
+    copy that is accepted, null if none is, and ``checkin_order`` its order.
+
+    Every event proposes its earliest copy to that copy's month. A month keeps
+    the first proposals by arrival that it has room for; a month that is full
+    stays full, so a rejected event proposes its next copy in another month.
+    When no rejected event has one left, what the months keep is what a fold
+    over the events in order would accept: an event's copy is turned down
+    exactly if the month was filled by accepted copies that arrived before it.
 
-    Candidates have one row per (user, event id) with ``quota_month``,
-    ``month_count`` below the maximum, and ``arrival_seq``.
+    Only events with copies in several months take part in a further round.
+    Ranks are limited to the quota before and after the shuffle. Rounds are cut
+    and go on until nothing changes.
+    """
+    free = ~F.col("in_state") & ~F.col("in_ledger") & _has_quota(cfg)
+    rows = ruled.filter(free).select(*COPY_KEY, "month_count", "first_arrival")
+    month = Window.partitionBy("user_id", "quota_month").orderBy("first_arrival")
+    while True:
+        event = Window.partitionBy(*EVENT_KEY)
+        proposals = cut(
+            rows.withColumn("__first", F.min("first_arrival").over(event))
+            .withColumn("__more", F.count(F.lit(1)).over(event) > 1)
+            .filter(F.col("first_arrival") == F.col("__first"))
+            .drop("__first")
+        )
+        kept = cut(
+            proposals.withColumn("__rank", F.row_number().over(month))
+            .filter(F.col("__rank") <= F.lit(cfg.max_per_month))
+            .filter(F.col("month_count") + F.col("__rank") <= F.lit(cfg.max_per_month))
+            .withColumn("checkin_order", (F.col("month_count") + F.col("__rank")).cast("int"))
+            .drop("__rank", "__more")
+        )
+        rejected = proposals.join(kept.select(*COPY_KEY), COPY_KEY, "left_anti")
+        if not rejected.filter("__more").head(1):
+            break
+        rows = cut(rows.join(rejected.select(*COPY_KEY), COPY_KEY, "left_anti"))
+    accepted = kept.select(*EVENT_KEY, F.col("first_arrival").alias("__accepted"), "checkin_order")
+    joined = ruled.join(accepted, EVENT_KEY, "left")
+    first_mark = F.when(F.col("in_ledger"), F.col("first_mark")).otherwise(F.col("__accepted"))
+    return joined.withColumn("first_mark", first_mark).drop("__accepted")
+
+
+def with_orders(ruled: DataFrame, cfg: EngineConfig, cut: Cut) -> DataFrame:
+    """Verdicts with ``checkin_order``, the order of the copy that arrived at
+    ``first_mark`` if that is accepted.
 
     ``snapshot``: ledger count + 1. Events of one batch do not count for each
     other, so orders can repeat and the quota can be exceeded.
-    ``sequential``: ledger count + rank within the user's month. Only the
-    first ``max_per_month`` candidates of a month can be within the quota, so
-    the rank is taken with a limit and a hot user's month stays small.
+    ``sequential``: see ``settle``.
     """
-    if cfg.order_mode == "snapshot":
-        return candidates.withColumn("checkin_order", (F.col("month_count") + 1).cast("int"))
-    month = Window.partitionBy("user_id", "quota_month").orderBy("arrival_seq")
-    ranked = candidates.withColumn("__rank", F.row_number().over(month)).filter(
-        F.col("__rank") <= F.lit(cfg.max_per_month)
-    )
-    order = F.col("month_count") + F.col("__rank")
-    return (
-        ranked.withColumn("checkin_order", order.cast("int"))
-        .drop("__rank")
-        .filter(F.col("checkin_order") <= F.lit(cfg.max_per_month))
-    )
+    if cfg.order_mode == "sequential":
+        return settle(cut(ruled), cfg, cut)
+    return ruled.withColumn("checkin_order", (F.col("month_count") + 1).cast("int"))
 
 
-def accepted_keys(ruled: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Accepted (user, event id, arrival) with their orders, from verdicts."""
-    candidates = ruled.filter(
-        ~F.col("in_state") & ~F.col("in_ledger") & (F.col("first_arrival") == F.col("first_mark"))
-    ).select(*COPY_KEY, "month_count", F.col("first_arrival").alias("arrival_seq"))
-    return assign_order(candidates, cfg)
+def _scratch(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "decide")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def accept(
@@ -118,19 +155,30 @@ def accept(
     daily_checkin: DataFrame,
     checkin_events: DataFrame,
     cfg: EngineConfig,
+    cut: Cut | None = None,
 ) -> DataFrame:
     """Accepted check-ins only, with ``checkin_order``; rejects are dropped.
 
-    The short form of the rule: the first copy whose month has room and whose
-    event id the ledger does not hold. The ledger join leaves the rows dealt
-    out by event id, which serves the search for the first copy too: full
-    records are shuffled once, or twice where the month counts are large.
+    The short form of the rule in snapshot mode: the first copy whose month has
+    room and whose event id the ledger does not hold. The ledger join leaves the
+    rows dealt out by event id, which serves the search for the first copy too:
+    full records are shuffled once, or twice where the month counts are large.
+    In sequential mode the narrow verdicts are settled first, and the accepted
+    arrivals joined to the records.
     """
+    if cfg.order_mode == "sequential":
+        cut = cut or _scratch
+        ruled = with_orders(verdicts(checkins, daily_checkin, checkin_events, cfg), cfg, cut)
+        chosen = ruled.filter(
+            ~F.col("in_ledger") & (F.col("first_arrival") == F.col("first_mark"))
+        ).select(*EVENT_KEY, F.col("first_mark").alias("arrival_seq"), "month_count", "checkin_order")
+        return with_quota_month(checkins).join(cut(chosen), [*EVENT_KEY, "arrival_seq"])
     counted = with_month_count(
         with_quota_month(checkins), daily_checkin, ["arrival_seq"], cfg.count_salts
     )
     fresh = new_events(counted.filter(_has_quota(cfg)), checkin_events)
-    return assign_order(first_per_key(fresh, EVENT_KEY), cfg)
+    first = first_per_key(fresh, EVENT_KEY)
+    return first.withColumn("checkin_order", (F.col("month_count") + 1).cast("int"))
 
 
 def decide(
@@ -139,34 +187,31 @@ def decide(
     checkin_events: DataFrame,
     cfg: EngineConfig,
     seen: DataFrame | None = None,
-    cut: Callable[[DataFrame], DataFrame] | None = None,
+    cut: Cut | None = None,
 ) -> DataFrame:
     """Every check-in with its ``status`` and, where accepted, its order.
 
-    In sequential mode, accepted rows beyond the quota become ``LIMIT``. That
-    reads the verdicts twice; ``cut``, a function that writes a frame to a
-    table and returns it as written, saves working them out twice.
+    ``cut`` is a function that writes a frame to a table and returns it as
+    written. Sequential mode needs one and takes a scratch table by default;
+    its verdicts are cut before they are joined to the records, so that both
+    sides of that join are scans and a hot key can be split.
     """
     ruled = verdicts(checkins, daily_checkin, checkin_events, cfg, seen)
-    if cut is not None:
-        ruled = cut(ruled)
-    return apply_verdicts(checkins, ruled, cfg)
+    if cfg.order_mode == "sequential":
+        cut = cut or _scratch
+        return apply_verdicts(checkins, cut(with_orders(ruled, cfg, cut)))
+    return apply_verdicts(checkins, with_orders(ruled if cut is None else cut(ruled), cfg, cut))
 
 
-def apply_verdicts(checkins: DataFrame, ruled: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Statuses and orders of check-ins, from their verdicts."""
-    if cfg.order_mode == "sequential":
-        orders = accepted_keys(ruled, cfg).select(*COPY_KEY, "checkin_order")
-        ruled = ruled.join(orders, COPY_KEY, "left")
-    else:
-        ruled = ruled.withColumn("checkin_order", (F.col("month_count") + 1).cast("int"))
+def apply_verdicts(checkins: DataFrame, ruled: DataFrame) -> DataFrame:
+    """Statuses and orders of check-ins, from their verdicts with orders."""
     after_mark = F.col("arrival_seq") > F.col("first_mark")
-    over_quota = ~_has_quota(cfg) | F.col("checkin_order").isNull()
+    at_mark = F.col("arrival_seq") == F.col("first_mark")
     status = (
         F.when(F.col("in_state") | F.coalesce(after_mark, F.lit(False)), DUP_STATE)
         .when(F.col("in_ledger"), DUP_LEDGER)
-        .when(over_quota, LIMIT)
-        .otherwise(ACCEPT)
+        .when(F.coalesce(at_mark, F.lit(False)), ACCEPT)
+        .otherwise(LIMIT)
     )
     joined = with_quota_month(checkins).join(ruled, COPY_KEY, "left").withColumn("status", status)
     return joined.withColumn(

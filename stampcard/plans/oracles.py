@@ -1,6 +1,6 @@
 """The same results in plain SQL, written the row-by-row way: running sums
-over all copies where the engine folds them, windows over whole groups where
-it limits them. The engine's results are checked against these."""
+over all copies where the engine folds them, a fold over each user's events in
+turn where the engine settles all of them at once. The engine's results are checked against these."""
 
 from __future__ import annotations
 
@@ -53,15 +53,31 @@ snapshot AS (
                  ELSE 'ACCEPT' END AS status,
          CAST(month_count + 1 AS INTEGER) AS checkin_order
   FROM prior_marks),
-ranked AS (
-  SELECT *, CAST(month_count + row_number() OVER (
-              PARTITION BY user_id, y, m, status ORDER BY arrival_seq) AS INTEGER) AS seq_order
-  FROM snapshot),
+turns AS (
+  SELECT *, y * 100 + m AS ym, row_number() OVER (PARTITION BY user_id ORDER BY arrival_seq) AS turn
+  FROM looked_up),
+fold AS (
+  SELECT user_id, CAST(0 AS BIGINT) AS turn, CAST([] AS VARCHAR[]) AS marked, CAST([] AS BIGINT[]) AS taken,
+         CAST(NULL AS BIGINT) AS arrival_seq, CAST(NULL AS VARCHAR) AS status,
+         CAST(NULL AS BIGINT) AS used
+  FROM (SELECT DISTINCT user_id FROM looked_up)
+  UNION ALL
+  SELECT user_id, turn,
+         CASE WHEN status IN ('ACCEPT', 'DUP_LEDGER') THEN list_append(marked, event_id) ELSE marked END,
+         CASE WHEN status = 'ACCEPT' THEN list_append(taken, ym) ELSE taken END,
+         arrival_seq, status, used
+  FROM (
+    SELECT *, CASE WHEN list_contains(marked, event_id) THEN 'DUP_STATE'
+                   WHEN in_ledger THEN 'DUP_LEDGER'
+                   WHEN used >= 7 THEN 'LIMIT'
+                   ELSE 'ACCEPT' END AS status
+    FROM (
+      SELECT t.user_id, t.turn, t.event_id, t.ym, t.arrival_seq, t.in_ledger, f.marked, f.taken,
+             t.month_count + len([x FOR x IN f.taken IF x = t.ym]) AS used
+      FROM fold f JOIN turns t ON t.user_id = f.user_id AND t.turn = f.turn + 1))),
 sequential AS (
-  SELECT * EXCLUDE (status, checkin_order, seq_order),
-         CASE WHEN status = 'ACCEPT' AND seq_order > 7 THEN 'LIMIT' ELSE status END AS status,
-         seq_order AS checkin_order
-  FROM ranked)
+  SELECT l.*, f.status, CAST(f.used + 1 AS INTEGER) AS checkin_order
+  FROM looked_up l JOIN fold f ON f.user_id = l.user_id AND f.arrival_seq = l.arrival_seq)
 """
 
 _DATE = "strftime({0}, '%Y-%m-%d')"
@@ -110,7 +126,7 @@ applied AS (
 
 
 def _sql(body: str, *more: str) -> str:
-    return "WITH " + ",\n".join([_INPUTS.strip(), *[part.strip() for part in more]]) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join([_INPUTS.strip(), *[part.strip() for part in more]]) + "\n" + body
 
 
 def _transactions(table: str, tx_id: str) -> str:
@@ -227,7 +243,9 @@ FROM orders_ranked""",
     "monthly_quota": _sql("""
 SELECT arrival_seq, user_id, month_count, month_count >= 7 AS over_quota FROM looked_up"""),
     "monthly_counts": _sql("""
-SELECT user_id, CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month, month_count FROM counts"""),
+SELECT user_id, CAST(year(checkin_date) AS INTEGER) AS year, CAST(month(checkin_date) AS INTEGER) AS month,
+       count(DISTINCT checkin_date) AS month_count
+FROM checkins GROUP BY ALL"""),
     "ledger_duplicates": _sql("SELECT arrival_seq, event_id, user_id, in_ledger FROM looked_up"),
     "new_events_anti_join": _sql(f"""
 SELECT event_id, user_id, {_DATE.format("checkin_date")} AS checkin_date,

@@ -17,9 +17,10 @@ def award_points_live(
     checkin_events: DataFrame,
     cfg: EngineConfig,
     processed_at: Column | None = None,
+    cut: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Point transactions of the accepted check-ins; rejects are dropped."""
-    accepted = accept(checkins, daily_checkin, checkin_events, cfg)
+    accepted = accept(checkins, daily_checkin, checkin_events, cfg, cut)
     return to_transactions(accepted, cfg, processed_at)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stampcard.config import EngineConfig
-from stampcard.functions.rules import points_for_order, to_transactions, with_quota_month
+from stampcard.functions.rules import points_for_order, transaction_id, with_quota_month
 from stampcard.operators import decide as D
 from stampcard.operators import dedup, ledger, lookups
 from stampcard.plans import workload as W
@@ -84,13 +84,13 @@ class Inputs:
         return D.decide(self.checkins, self.daily, self.logged, cfg)
 
     def transactions(self, cfg: EngineConfig = CFG) -> DataFrame:
-        return award_points_live(self.checkins, self.daily, self.logged, cfg, W.now())
+        return award_points_live(self.checkins, self.daily, self.logged, cfg, W.now(), self.written)
 
     def changes(self) -> ledger.LedgerChanges:
         # Audited rows feed several tables, so their plan is cut here.
         rows = self.written(self.audited())
         return ledger.apply_ledger(
-            rows, self.users, self.daily, self.logged, W.now(), on_missing="quarantine"
+            rows, self.users, self.daily, self.logged, W.now(), on_missing="quarantine", cut=self.written
         )
 
     def written(self, df: DataFrame) -> DataFrame:
@@ -138,12 +138,10 @@ def points_ladder(i: Inputs) -> DataFrame:
 
 def transaction_ids(i: Inputs) -> DataFrame:
     accepted = D.accept(i.checkins, i.daily, i.logged, CFG)
-    ids = to_transactions(accepted, CFG, W.now()).select("event_id", "user_id", "transaction_id")
-    stable = to_transactions(accepted, STABLE_IDS, W.now()).select(
-        "event_id", "user_id", "transaction_id"
-    )
-    return ids.withColumn("id_mode", F.lit("reference")).unionByName(
-        stable.withColumn("id_mode", F.lit("deterministic"))
+    modes = ("reference", "deterministic")
+    ids = [F.struct(F.lit(m).alias("id_mode"), transaction_id(m, W.now()).alias("transaction_id")) for m in modes]
+    return accepted.select("event_id", "user_id", F.explode(F.array(*ids)).alias("id")).select(
+        "event_id", "user_id", "id.*"
     )
 
 
@@ -175,7 +173,8 @@ def monthly_quota(i: Inputs) -> DataFrame:
 
 
 def monthly_counts(i: Inputs) -> DataFrame:
-    return lookups.monthly_counts(i.daily).select(
+    """Of all check-in days, whether or not a quota would let them pass."""
+    return lookups.monthly_counts(W.checkin_days_of(i.checkins)).select(
         "user_id",
         F.year("quota_month").alias("year"),
         F.month("quota_month").alias("month"),

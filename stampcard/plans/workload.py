@@ -82,8 +82,14 @@ def _logged(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("ts") < F.lit(LEDGER_CUT).cast("timestamp_ntz"))
 
 
+def checkin_days_of(checkins: DataFrame) -> DataFrame:
+    """One row per user and day of all check-ins."""
+    return checkins.select("user_id", "checkin_date").distinct()
+
+
 def daily_checkin_of(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """One row per user and day before the cut, up to the monthly quota."""
+    """The ledger's daily rows: one per user and day before the cut, up to the
+    monthly quota, as a job with that quota would have left them."""
     days = _base(_logged(raw)).select("user_id", "checkin_date").distinct()
     month = Window.partitionBy("user_id", quota_month(F.col("checkin_date"))).orderBy("checkin_date")
     return (

@@ -13,6 +13,7 @@ and uses the clock of its first run.
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -30,9 +31,10 @@ from stampcard.functions.rules import (
     to_processed,
     to_transactions,
 )
-from stampcard.operators.decide import EVENT_KEY, apply_verdicts, verdicts
+from stampcard.operators.decide import EVENT_KEY, apply_verdicts, verdicts, with_orders
 from stampcard.operators.ledger import apply_ledger
 from stampcard.operators.lookups import matching
+from stampcard.schemas import LEDGER_DDL
 from stampcard.sources import kafka, wire
 from stampcard.sources.tables import BatchJournal, FileLedger, JdbcLedger, month_range
 
@@ -84,7 +86,7 @@ class SeenEvents:
     DDL = (
         "user_id bigint, event_id string, quota_month date, first_arrival bigint, "
         "month_count bigint, in_ledger boolean, first_mark bigint, in_state boolean, "
-        "seen_at timestamp_ntz"
+        "checkin_order int, seen_at timestamp_ntz"
     )
 
     def __init__(self, spark: SparkSession, root: str, ttl_ms: int) -> None:
@@ -104,8 +106,10 @@ class SeenEvents:
         folder = self._folder(batch, now)
         return self.spark.read.schema(self.DDL).parquet(folder).drop("seen_at")
 
-    def read(self, batch: str, now: dt.datetime) -> DataFrame:
-        """Pairs still remembered at ``now``, without those of ``batch``."""
+    def read(self, batch: str, now: dt.datetime, checkins: DataFrame) -> DataFrame:
+        """Pairs of ``checkins`` still remembered at ``now``, not from ``batch``
+        itself. The memory is far larger than a batch, so it is cut to the
+        batch's pairs before it is shuffled where these are few."""
         since = now - self.ttl
         count = (now.date() - since.date()).days + 1
         days = [since.date() + dt.timedelta(days=n) for n in range(count)]
@@ -122,6 +126,7 @@ class SeenEvents:
             .filter(F.col("seen_at") > time_literal(since))
             .filter(~F.col("in_state") & (F.col("first_arrival") == F.col("first_mark")))
             .select(*EVENT_KEY)
+            .join(checkins.select(*EVENT_KEY).distinct(), EVENT_KEY, "left_semi")
             .distinct()
         )
 
@@ -199,6 +204,10 @@ class Job:
         """The daily rows and log rows a batch can meet, read now. A ledger is
         far larger than a batch, so only these take part in the joins."""
         months = month_range(batch.checkins)
+        if months is None:
+            # A batch without rows asks the ledger nothing.
+            none = self.spark.createDataFrame([], LEDGER_DDL["daily_checkin"])
+            return none, self.spark.createDataFrame([], "event_id string")
         daily = ledger.daily_checkin(months, batch.name)
         logged = ledger.checkin_events(batch.name).select("event_id")
         return (
@@ -206,6 +215,11 @@ class Job:
             self.cut(matching(logged, batch.checkins, "event_id"), "logged"),
         )
 
+    def ruled(self, rows: DataFrame) -> DataFrame:
+        """Verdicts with orders; each round of settling has a folder."""
+        rounds = itertools.count()
+        return with_orders(rows, self.cfg, lambda df: self.cut(df, f"round{next(rounds)}"))
+
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` to a work folder, used again by the next batch, and
         return it as written."""
@@ -238,14 +252,17 @@ class LiveJob(Job):
         # transactions even if the ledger has moved on in between.
         if not self.journal.time_of(batch.name, "ruled"):
             daily, logged = self.looked_up(self.ledger, batch)
-            seen = self.seen.read(batch.name, batch.now)
-            ruled = verdicts(batch.checkins, daily, logged, self.cfg, seen)
+            seen = self.seen.read(batch.name, batch.now, batch.checkins)
+            ruled = self.ruled(verdicts(batch.checkins, daily, logged, self.cfg, seen))
             self.seen.write(ruled, batch.name, batch.now)
             self.journal.note(batch.name, "ruled", batch.now)
         kept = self.seen.verdicts_of(batch.name, batch.now)
-        decided, outcomes = observe_outcomes(apply_verdicts(batch.checkins, kept, self.cfg))
+        decided, outcomes = observe_outcomes(apply_verdicts(batch.checkins, kept))
         accepted = decided.filter(F.col("status") == ACCEPT)
-        self.sink(to_transactions(accepted, self.cfg, time_literal(batch.now)), batch.name)
+        # Cut before it is handed over: a sink may run several actions, or none,
+        # and the counts below wait for one.
+        sent = self.cut(to_transactions(accepted, self.cfg, time_literal(batch.now)), "sent")
+        self.sink(sent, batch.name)
         LOG.info("batch %s: %s", batch.name, outcomes.get)
 
 
@@ -272,8 +289,8 @@ class LedgerJob(Job):
 
     def work(self, batch: Batch) -> None:
         daily, logged = self.looked_up(self.ledger, batch)
-        ruled = self.cut(verdicts(batch.checkins, daily, logged, self.cfg), "ruled")
-        decided, outcomes = observe_outcomes(apply_verdicts(batch.checkins, ruled, self.cfg))
+        ruled = self.cut(self.ruled(verdicts(batch.checkins, daily, logged, self.cfg)), "ruled")
+        decided, outcomes = observe_outcomes(apply_verdicts(batch.checkins, ruled))
         processed = self.cut(to_processed(decided, self.cfg), "processed")
         LOG.info("batch %s: %s", batch.name, outcomes.get)
         now = time_literal(batch.now)

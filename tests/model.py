@@ -33,11 +33,14 @@ def points(order, ladder):
 def decide(checkins, daily, logged, cfg, state=None):
     """{seq: (status, order)}; ``daily`` is (user, date) pairs, ``logged`` ids."""
     state = set() if state is None else state
-    ranks = {}
+    accepted = {}
     result = {}
     for c in sorted(checkins, key=lambda c: c.seq):
         key = (c.user_id, c.event_id)
-        count = sum(1 for u, d in daily if u == c.user_id and month_of(d) == month_of(c.date))
+        month = (c.user_id, month_of(c.date))
+        count = sum(1 for u, d in daily if (u, month_of(d)) == month)
+        if cfg.order_mode == "sequential":
+            count += accepted.get(month, 0)
         if key in state:
             result[c.seq] = ("DUP_STATE", None)
         elif c.event_id in logged:
@@ -47,15 +50,8 @@ def decide(checkins, daily, logged, cfg, state=None):
             result[c.seq] = ("LIMIT", None)
         else:
             state.add(key)
-            order = count + 1
-            if cfg.order_mode == "sequential":
-                month = (c.user_id, month_of(c.date))
-                ranks[month] = ranks.get(month, 0) + 1
-                order = count + ranks[month]
-            if order > cfg.max_per_month:
-                result[c.seq] = ("LIMIT", None)
-            else:
-                result[c.seq] = ("ACCEPT", order)
+            accepted[month] = accepted.get(month, 0) + 1
+            result[c.seq] = ("ACCEPT", count + 1)
     return result
 
 

@@ -94,6 +94,16 @@ def test_two_events_of_one_day(spark):
     assert in_turn == {0: "ACCEPT", 1: "ACCEPT", 2: "LIMIT", 3: "LIMIT"}
 
 
+def test_an_event_over_the_quota_is_not_remembered_in_sequence(spark):
+    """A full month leaves the event free for a copy in another month."""
+    once = CONFIGS[1].with_(max_per_month=1)
+    copies = [Checkin("x", 1, JAN, 1), Checkin("y", 1, JAN, 2), Checkin("y", 1, FEB, 3), Checkin("y", 1, FEB, 4)]
+    assert statuses(spark, copies, cfg=once) == {1: "ACCEPT", 2: "LIMIT", 3: "ACCEPT", 4: "DUP_STATE"}
+    # y's second copy fills February before z gets there, and z goes on to March.
+    more = copies[:3] + [Checkin("z", 1, FEB, 5), Checkin("z", 1, dt.date(2024, 3, 5), 6)]
+    assert statuses(spark, more, cfg=once) == {1: "ACCEPT", 2: "LIMIT", 3: "ACCEPT", 5: "LIMIT", 6: "ACCEPT"}
+
+
 def test_quota_exactly_met(spark):
     assert statuses(spark, [Checkin("e", 1, JAN, 1)], FULL[:1]) == {1: "ACCEPT"}
     assert statuses(spark, [Checkin("e", 1, JAN, 1)], FULL) == {1: "LIMIT"}
