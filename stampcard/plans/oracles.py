@@ -197,19 +197,19 @@ SELECT event_id, user_id, {_DATE.format("checkin_date")} AS checkin_date,
 FROM checkins"""),
     "decode_quarantine": """
 SELECT event_id * 10 AS arrival_seq, outcome,
-       CASE WHEN outcome = 'OK' THEN CASE event_type WHEN 'view' THEN 'E' ELSE '' END || event_id END
-         AS event_id,
+       CASE WHEN outcome = 'OK' THEN
+         CASE WHEN event_type = 'click' AND value >= 60 THEN '' ELSE 'E' END || event_id END AS event_id,
        CASE WHEN outcome = 'OK' THEN user_id END AS user_id
 FROM (
   SELECT *, CASE
     WHEN event_type = 'view' AND value < 40 THEN 'MALFORMED'
     WHEN event_type = 'view' AND value < 60 THEN 'NULL_RECORD'
     WHEN event_type = 'view' THEN 'OK'
-    WHEN event_type = 'click' AND value < 60 THEN 'MALFORMED'
     WHEN event_type = 'click' THEN 'OK'
     WHEN event_type = 'purchase' AND value < 60 THEN 'NULL_EVENT_ID'
     WHEN event_type = 'purchase' THEN 'NULL_USER_ID'
     WHEN event_type = 'signup' AND value < 60 THEN 'NULL_CHECKIN_DATE'
+    WHEN event_type = 'signup' AND value < 75 THEN 'OK'
     ELSE 'MALFORMED' END AS outcome
   FROM events)""",
     "quota_month": _sql("""

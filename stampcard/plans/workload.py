@@ -168,7 +168,7 @@ def checkin_json() -> Column:
 
 
 def damaged_records_of(raw: DataFrame) -> DataFrame:
-    """Every event as a raw record, most of them damaged by event type and
+    """Every event as a raw record, in odd forms or damaged by event type and
     by the range its ``value`` lies in."""
     kind = F.col("event_type")
     amount = F.col("value")
@@ -200,10 +200,20 @@ def damaged_records_of(raw: DataFrame) -> DataFrame:
             (kind == "signup") & (amount < 60),
             F.format_string('{"eventId":"E%s","userId":%s}', number, user),
         )
+        .when(
+            (kind == "signup") & (amount < 75),
+            F.format_string(
+                '{"eventId":"E%s","userId":%s.75,"checkinDate":[%s],"eventTimestamp":"%sT10:00:00Z"}',
+                number,
+                user,
+                F.date_format("ts", "yyyy,M,d"),
+                date,
+            ),
+        )
         .when(
             kind == "signup",
             F.format_string(
-                '{"eventId":"E%s","userId":%s,"checkinDate":"%s","eventTimestamp":"%sT10:00:00Z"}',
+                '{"eventId":"E%s","userId":%s,"checkinDate":"%s","eventTimestamp":"%sT10:00:00+07:00"}',
                 number,
                 user,
                 date,

@@ -54,8 +54,34 @@ def raw(spark, values):
     )
 
 
+FORMS = {
+    with_fields(userId="12"): (12, dt.date(2024, 1, 5), None),
+    with_fields(userId=1.5): (1, dt.date(2024, 1, 5), None),
+    with_fields(userId=-1.5): (-1, dt.date(2024, 1, 5), None),
+    with_fields(userId=9007199254740993): (9007199254740993, dt.date(2024, 1, 5), None),
+    with_fields(checkinDate=[2024, 1, 5]): (1, dt.date(2024, 1, 5), None),
+    with_fields(checkinDate="2024-01-05T10:00:00"): (1, dt.date(2024, 1, 5), None),
+    with_fields(eventTimestamp="2024-01-05T10:00:00Z"): (1, dt.date(2024, 1, 5), dt.datetime(2024, 1, 5, 10)),
+    with_fields(eventTimestamp="2024-01-05T10:00:01.25Z"): (1, dt.date(2024, 1, 5), dt.datetime(2024, 1, 5, 10, 0, 1, 250_000)),
+    with_fields(eventTimestamp=[2024, 1, 5, 9, 7]): (1, dt.date(2024, 1, 5), dt.datetime(2024, 1, 5, 9, 7)),
+    with_fields(eventTimestamp=[2024, 1, 5, 9, 7, 3, 5_000_000]): (1, dt.date(2024, 1, 5), dt.datetime(2024, 1, 5, 9, 7, 3, 5000)),
+}
+NO_FORMS = [
+    with_fields(userId="x"), with_fields(userId=True), with_fields(userId=[1]), with_fields(checkinDate=[2024, 1]),
+    with_fields(checkinDate=[2024, 2, 30]), with_fields(checkinDate="05.01.2024"), with_fields(userId="99999999999999999999"),
+    with_fields(eventTimestamp="2024-01-05T10:00:00+07:00"), with_fields(eventTimestamp=[2024, 1, 5]), with_fields(eventTimestamp="soon"),
+]
+
+
+def test_other_forms_of_a_field(spark):
+    rows = decode_checkins(raw(spark, FORMS)).orderBy("arrival_seq").collect()
+    assert [(r.user_id, r.checkin_date, r.event_timestamp) for r in rows] == list(FORMS.values())
+    bad = decode_checkins(raw(spark, NO_FORMS), on_error="quarantine").collect()
+    assert {r.reason for r in bad} == {"MALFORMED"}
+
+
 def test_faults(spark):
-    decoded = decode_checkins(raw(spark, FAULTS), on_error="quarantine")
+    decoded = decode_checkins(raw(spark, FAULTS), on_error="quarantine", strict=True)
     reasons = {r.arrival_seq: r.reason for r in decoded.collect()}
     assert reasons == dict(enumerate(FAULTS.values()))
     good, bad = split_quarantine(decoded)
@@ -85,7 +111,7 @@ def test_bytes_are_decoded(spark):
 @pytest.mark.parametrize("value", [v for v, r in FAULTS.items() if r not in (None, "NULL_RECORD")])
 def test_one_bad_record_fails_the_job(spark, value):
     with pytest.raises(PySparkException, match="unusable check-in record"):
-        decode_checkins(raw(spark, [FULL, value])).count()
+        decode_checkins(raw(spark, [FULL, value]), strict=True).count()
 
 
 def test_null_record_is_skipped(spark):
