@@ -24,6 +24,13 @@ from stampcard.sources.tables import JdbcLedger
 from stampcard.streaming.jobs import LiveJob, kafka_sink, start_live_stream
 
 
+def user_split(text: str) -> tuple[int, int, int]:
+    low, high, parts = (int(part) for part in text.split(","))
+    if low > high or parts < 1:
+        raise ValueError(text)
+    return low, high, parts
+
+
 def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="stampcard.job", description=__doc__)
     for name in OPTION_FIELDS:
@@ -32,6 +39,10 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--on.error", default="fail", choices=("fail", "quarantine"))
     parser.add_argument("--order.mode", default="snapshot", choices=("snapshot", "sequential"))
     parser.add_argument("--max.offsets.per.trigger", type=int)
+    parser.add_argument(
+        "--ledger.split", type=user_split, metavar="LOW,HIGH,PARTS",
+        help="read the ledger tables by this many tasks over the user ids from LOW to HIGH",
+    )
     return parser.parse_args(argv)
 
 
@@ -58,7 +69,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     job = LiveJob(
         spark,
         cfg,
-        JdbcLedger(spark, cfg),
+        JdbcLedger(spark, cfg, getattr(args, "ledger.split")),
         kafka_sink(cfg),
         f"{root}/state",
         on_error=getattr(args, "on.error"),

@@ -40,7 +40,11 @@ def in_range(df: DataFrame, dates: DateRange | None) -> DataFrame:
 
 
 def jdbc_options(cfg: EngineConfig, table: str) -> dict[str, str]:
+    """``fetchsize`` and ``useCursorFetch`` keep the MySQL driver from holding
+    a whole result in one executor's memory."""
     return {
+        "fetchsize": "10000",
+        "useCursorFetch": "true",
         "url": cfg.jdbc_url,
         "dbtable": table,
         "user": cfg.jdbc_username,

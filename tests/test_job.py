@@ -46,7 +46,17 @@ def test_arrival_order_of_records(spark):
 
 def test_jdbc_options():
     cfg = EngineConfig(jdbc_url="u", jdbc_username="n", jdbc_password="p")
-    assert tables.jdbc_options(cfg, "users") == {"url": "u", "dbtable": "users", "user": "n", "password": "p"}
+    assert tables.jdbc_options(cfg, "users") == {
+        "url": "u", "dbtable": "users", "user": "n", "password": "p", "fetchsize": "10000", "useCursorFetch": "true",
+    }
+
+
+def test_ledger_split():
+    assert getattr(parse(["--ledger.split", "1,900,8"]), "ledger.split") == (1, 900, 8)
+    assert getattr(parse([]), "ledger.split") is None
+    for bad in ("1,2", "5,1,2", "1,2,0", "x"):
+        with pytest.raises(SystemExit):
+            parse(["--ledger.split", bad])
 
 
 def test_shared_folder(spark):
