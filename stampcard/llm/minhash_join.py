@@ -7,8 +7,8 @@ has one, deeper nodes have 1 / similarity on average). A node is settled
 
 * when all its texts are known to be linked with each other,
 * by comparing its texts exhaustively when it is small,
-* else by its children; at the last level, by comparing it exhaustively in
-  blocks that many tasks share.
+* else by its children; at the last level, or where dealing out no longer makes
+  nodes smaller, by comparing it exhaustively in blocks that many tasks share.
 
 In every node each text is first compared with a few pivots of the node. That
 links most of a large group of near copies in time linear in its size, and
@@ -57,9 +57,14 @@ class JoinPlan:
     recall: float = 0.99999
     #: Nodes up to this size are compared exhaustively; also the size of blocks.
     leaf: int = 512
-    levels: int = 4
+    levels: int = 8
+    #: Large nodes are dealt out further while that leaves at most so large a
+    #: part of their rows in large nodes; else blocks are cheaper.
+    shrink: float = 0.7
     #: Rows that one task compares, about.
     batch: int = 16_384
+    #: Shingles that one task holds when it compares full sets, about.
+    batch_shingles: int = 2_000_000
 
     @property
     def similarity(self) -> float:
@@ -86,7 +91,7 @@ PIVOT_ORDERS = (0, (1 << 62) - 1, 0x1555555555555555, 0x2AAAAAAAAAAAAAAA)
 #: Bits of the filter that keeps rows which are not needed out of a shuffle. Its
 #: size is fixed, so it can be broadcast; what it lets through by chance is
 #: dropped by the join behind it.
-FILTER_BITS = 1 << 24
+FILTER_BITS = 1 << 22
 
 
 def _likely_in(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -161,7 +166,6 @@ class _Search:
 
     def __init__(self, texts: DataFrame, classes: DataFrame, plan: JoinPlan) -> None:
         self.texts, self.classes, self.plan = texts, classes, plan
-        self.links: list[DataFrame] = []
         self.labels: DataFrame | None = None
 
     def labelled(self, rows: DataFrame) -> DataFrame:
@@ -196,13 +200,7 @@ class _Search:
         components up to date."""
         pairs = written(pairs.distinct(), "join-pairs")
         needed = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
-        texts = written(
-            _likely_in(self.texts, needed)
-            .join(needed, "c", "left_semi")
-            .groupBy("c", "k1", "k2")
-            .agg(F.first("text").alias("text")),
-            "join-texts",
-        )
+        texts = written(self.needed_texts(needed), "join-texts")
         both = pairs.join(texts.select(F.col("c").alias("b"), F.col("text").alias("text_b")), "b").join(
             texts.select(F.col("c").alias("a"), F.col("text").alias("text_a")), "a"
         )
@@ -228,17 +226,20 @@ class _Search:
                     yield part.filter(pa.array(keep))
 
         found = written(both.select("a", "b", "text_a", "text_b").mapInArrow(linked, "a bigint, b bigint"), "join-links")
-        self.links.append(found)
-        known = [x.select("a", "b") for x in self.links]
-        if self.labels is not None:
-            known = [self.labels.select(F.col("id").alias("a"), F.col("label").alias("b")).filter("a != b"), found]
-        self.labels = connected_components(reduce(DataFrame.unionByName, known))
-
-    def compare(self, rows: DataFrame) -> DataFrame:
-        """Pairs within the nodes of ``rows`` (``node, c, n``) that are not
-        linked yet and look alike, all of them compared. A node larger than a
-        leaf is cut into blocks, and each two of its blocks meet in one group."""
-        plan = self.plan
+        self.link(found)
+
+    def compare(self, rows: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+        """Compare all texts within the nodes of ``rows`` (``node, c, n``) that
+        are not in one component. A node larger than a leaf is cut into blocks,
+        and each two of its blocks meet in one group.
+
+        Without ``sets``: the texts ``c`` that look like some other one. With
+        the full sets of these (``c, set``): links ``a, b`` that join all
+        components of a group that any of its links joins.
+        """
+        plan, exact = self.plan, sets is not None
+        if exact:
+            rows = written(rows.join(sets.select("c"), "c", "left_semi"), "join-near")
         blocks = F.ceil(F.col("n") / plan.leaf).cast("int")
         block = F.pmod(F.xxhash64("c"), blocks).cast("int")
         met = F.transform(
@@ -246,43 +247,123 @@ class _Search:
             lambda i: F.struct(F.least(block, i).alias("x"), F.greatest(block, i).alias("y")),
         )
         spread = rows.select("node", "c", block.alias("block"), F.explode(met).alias("at"))
-        tasks = max(1, math.ceil(rows.count() / plan.batch))
+        known = _likely_in(self.classes.select("c", "n_shingles", "sketch"), rows.select("c"))
+        if exact:
+            known = known.join(sets, "c")
+        size = spread.join(self.classes.select("c", "n_shingles"), "c").agg(
+            F.count(F.lit(1)), F.coalesce(F.sum("n_shingles"), F.lit(0))
+        ).first()
+        tasks = max(1, math.ceil(max(size[0] / plan.batch, exact * size[1] / plan.batch_shingles)))
         dealt = (
             self.labelled(spread)
-            .join(_likely_in(self.classes.select("c", "n_shingles", "sketch"), rows.select("c")), "c")
+            .join(known, "c")
             .select(
                 F.pmod(F.xxhash64("node", "at"), F.lit(tasks)).alias("task"),
                 *("node", "at.x", "at.y", "block", "c", "label", "n_shingles", "sketch"),
+                *["set"] * exact,
             )
         )
         least = plan.least_agreement
 
-        def pairs(table: pa.Table) -> pa.Table:
+        def compared(table: pa.Table) -> pa.Table:
             node, x, y, block, c, label, size = (
                 table[n].to_numpy() for n in ("node", "x", "y", "block", "c", "label", "n_shingles")
             )
             sketch = _sketches(table["sketch"])
+            if exact:
+                sets_here = table["set"].combine_chunks()
+                members = sets_here.flatten().to_numpy().view(np.uint64)
+                size = sets_here.value_lengths().to_numpy().astype(np.int64)
+                start = np.concatenate([[0], np.cumsum(size)])
             order = np.lexsort((c, y, x, node))
-            new = np.ones(len(order), dtype=bool)
+            same_group = np.ones(len(order), dtype=bool)
             for column in (node, x, y):
-                new[1:] &= column[order[1:]] == column[order[:-1]]
-            new[1:] = ~new[1:]
-            out_a, out_b = [c[:0]], [c[:0]]
-            for group in np.split(order, np.flatnonzero(new)[1:]):
+                same_group[1:] &= column[order[1:]] == column[order[:-1]]
+            joined: dict[int, int] = {}
+
+            def root(name: int) -> int:
+                while name in joined:
+                    name = joined[name]
+                return name
+
+            alike = np.zeros(len(c), dtype=bool)
+            links: list[tuple[int, int]] = []
+            for group in np.split(order, np.flatnonzero(~same_group)):
                 first = group[block[group] == x[group[0]]]
                 second = group[block[group] == y[group[0]]]
                 for place, i in enumerate(first):
                     others = second[place + 1 :] if x[i] == y[i] else second
-                    others = others[
-                        (label[others] != label[i]) & _similar_sizes(size[others], size[i], plan.percent)
-                    ]
-                    if len(others):
-                        hits = others[(sketch[others] == sketch[i]).sum(axis=1) >= least]
-                        out_a.append(np.minimum(c[hits], c[i]))
-                        out_b.append(np.maximum(c[hits], c[i]))
-            return pa.table({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+                    others = others[(label[others] != label[i]) & _similar_sizes(size[others], size[i], plan.percent)]
+                    if not len(others):
+                        continue
+                    others = others[(sketch[others] == sketch[i]).sum(axis=1) >= least]
+                    if not exact:
+                        alike[others] = True
+                        alike[i] |= len(others) > 0
+                    elif len(others):
+                        own, n = members[start[i] : start[i + 1]], size[others]
+                        ahead = np.concatenate([[0], np.cumsum(n)[:-1]])
+                        values = members[np.repeat(start[others] - ahead, n) + np.arange(n.sum())]
+                        at = np.minimum(np.searchsorted(own, values), len(own) - 1)
+                        common = np.add.reduceat((own[at] == values).astype(np.int64), ahead)
+                        for k in others[100 * common >= plan.percent * (n + len(own) - common)].tolist():
+                            r, q = root(label[i]), root(label[k])
+                            if r != q:
+                                joined[max(r, q)] = min(r, q)
+                                links.append((min(c[i], c[k]), max(c[i], c[k])))
+            if exact:
+                return pa.table({n: pa.array([p[j] for p in links], pa.int64()) for j, n in enumerate("ab")})
+            return pa.table({"c": np.unique(c[alike])})
+
+        return dealt.groupBy("task").applyInArrow(compared, "a bigint, b bigint" if exact else "c bigint")
+
+    def full_sets(self, ids: DataFrame) -> DataFrame:
+        """``c, set``: the sorted shingle hashes of texts."""
+        width = self.plan.width
+
+        def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = batch.column("text").cast(pa.binary()).to_pylist()
+                for low, high in groups(texts):
+                    row, shingle = shingles_of(texts[low:high], width)
+                    counts = np.bincount(row, minlength=high - low)
+                    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                    sets = pa.ListArray.from_arrays(pa.array(offsets), pa.array(shingle.view(np.int64)))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("c").slice(low, high - low), sets], names=["c", "set"]
+                    )
+
+        texts = self.needed_texts(ids).select("c", "text")
+        return written(texts.mapInArrow(shingled, "c bigint, set array<bigint>"), "join-sets")
+
+    def needed_texts(self, ids: DataFrame) -> DataFrame:
+        """One text per id and key. Not a semi join: that would be moved before
+        the filter."""
+        return (
+            _likely_in(self.texts, ids)
+            .join(ids, "c")
+            .groupBy("c", "k1", "k2")
+            .agg(F.first("text").alias("text"))
+        )
 
-        return dealt.groupBy("task").applyInArrow(pairs, "a bigint, b bigint")
+    def link(self, found: DataFrame) -> None:
+        """Take in confirmed links and bring the components up to date."""
+        known = found.select("a", "b")
+        if self.labels is not None:
+            before = self.labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
+            known = known.unionByName(before.filter("a != b"))
+        self.labels = connected_components(known)
+
+    def still_mixed(self, rows: DataFrame) -> DataFrame:
+        """Rows of the nodes whose texts are not all in one component."""
+        named = written(self.labelled(rows), "join-named")
+        mixed = (
+            named.groupBy("node")
+            .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+            .filter("low != high")
+            .select("node")
+        )
+        return named.join(written(mixed, "join-mixed"), "node", "left_semi").select("node", "c", "n")
 
     def run(self) -> None:
         plan = self.plan
@@ -293,6 +374,7 @@ class _Search:
         ]
         rows = self.classes.select("c", F.explode(F.array(*roots)).alias("node"))
         small: list[DataFrame] = []
+        before = None
         for level in range(1, plan.levels + 1):
             pivots = F.array(*[F.min(F.col("c").bitwiseXOR(F.lit(o))).bitwiseXOR(F.lit(o)) for o in PIVOT_ORDERS])
             nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), pivots.alias("pivots")).filter("n > 1")
@@ -307,21 +389,16 @@ class _Search:
                     star = named.withColumnsRenamed({"c": side, "label": f"label_{side}"})
                 star = star.filter("label_a != label_b").select("a", "b")
             self.confirm(self.alike(written(star, "join-star")))
-            named = written(self.labelled(live.select("node", "c", "n")), "join-named")
-            mixed = (
-                named.groupBy("node")
-                .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-                .filter("low != high")
-                .select("node")
-            )
-            open_rows = written(named.join(written(mixed, "join-mixed"), "node", "left_semi"), f"join-open{level}")
             # Both texts of a node of two have been compared.
-            open_rows = open_rows.filter("n > 2")
-            leaf = open_rows if level == plan.levels else open_rows.filter(F.col("n") <= plan.leaf)
-            small.append(leaf.select("node", "c", "n"))
+            open_rows = written(self.still_mixed(live.select("node", "c", "n").filter("n > 2")), f"join-open{level}")
             large = open_rows.filter(F.col("n") > plan.leaf)
-            if level == plan.levels or not large.head(1):
+            left = large.count()
+            last = level == plan.levels or not left or (before is not None and left > plan.shrink * before)
+            leaf = open_rows if last else open_rows.filter(F.col("n") <= plan.leaf)
+            small.append(leaf.select("node", "c", "n"))
+            if last:
                 break
+            before = left
             # A node draws one coordinate, and a second one for part of the nodes.
             draw = lambda k: F.pmod(F.xxhash64("node", F.lit(k)), F.lit(plan.coordinates)).cast("int") + 1
             child = lambda k: F.xxhash64("node", draw(k), F.element_at(sig, draw(k)))
@@ -330,7 +407,9 @@ class _Search:
             rows = large.join(_likely_in(self.classes.select("c", "sig"), large.select("c")), "c").select(
                 "c", F.explode(children).alias("child")
             ).select("c", F.col("child").alias("node"))
-        self.confirm(self.compare(reduce(DataFrame.unionByName, small)))
+        rows = written(reduce(DataFrame.unionByName, small), "join-leaves")
+        alike = written(self.compare(rows).distinct(), "join-alike")
+        self.link(written(self.compare(rows, self.full_sets(alike)), "join-exact"))
 
 
 def near_duplicates(

@@ -15,7 +15,7 @@ from functools import cache
 import numpy as np
 
 #: Texts are hashed in groups of about so many bytes, to bound memory.
-GROUP_BYTES = 2_000_000
+GROUP_BYTES = 1_000_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _WHITE = [0x20, *range(0x09, 0x0E)]
@@ -38,16 +38,15 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-@cache
-def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(_BASE, size), _powers(pow(_BASE, -1, 2**64), size)
+_TABLES: list[np.ndarray] = []
 
 
-def _tables_for(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << 16
-    while size < n:
-        size *= 2
-    return _tables(size)
+def _tables_for(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, ``n`` at least; kept and grown."""
+    if not _TABLES or len(_TABLES[0]) < n:
+        size = 1 << max(16, (n - 1).bit_length())
+        _TABLES[:] = _powers(_BASE, size), _powers(pow(_BASE, -1, 2**64), size)
+    return _TABLES
 
 
 class Stretches:
