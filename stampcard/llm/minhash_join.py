@@ -56,7 +56,7 @@ class JoinPlan:
     #: Chance for a pair at the threshold to be found in some tree.
     recall: float = 0.99999
     #: Nodes up to this size are compared exhaustively; also the size of blocks.
-    leaf: int = 512
+    leaf: int = 1024
     levels: int = 8
     #: Large nodes are dealt out further while that leaves at most so large a
     #: part of their rows in large nodes; else blocks are cheaper.
@@ -246,17 +246,22 @@ class _Search:
             F.sequence(F.lit(0), blocks - 1),
             lambda i: F.struct(F.least(block, i).alias("x"), F.greatest(block, i).alias("y")),
         )
-        spread = rows.select("node", "c", block.alias("block"), F.explode(met).alias("at"))
         known = _likely_in(self.classes.select("c", "n_shingles", "sketch"), rows.select("c"))
+        held = rows.withColumn("times", blocks.cast("bigint"))
         if exact:
             known = known.join(sets, "c")
-        size = spread.join(self.classes.select("c", "n_shingles"), "c").agg(
-            F.count(F.lit(1)), F.coalesce(F.sum("n_shingles"), F.lit(0))
-        ).first()
-        tasks = max(1, math.ceil(max(size[0] / plan.batch, exact * size[1] / plan.batch_shingles)))
+            held = held.join(self.classes.select("c", "n_shingles"), "c").withColumn(
+                "held", F.col("times") * F.col("n_shingles")
+            )
+        else:
+            held = held.withColumn("held", F.lit(0).cast("bigint"))
+        size = held.agg(*[F.coalesce(F.sum(n), F.lit(0)) for n in ("times", "held")]).first()
+        tasks = max(1, math.ceil(max(size[0] / plan.batch, size[1] / plan.batch_shingles)))
+        # Joined before the rows are dealt to the meetings of their blocks.
         dealt = (
-            self.labelled(spread)
+            self.labelled(rows)
             .join(known, "c")
+            .select("*", block.alias("block"), F.explode(met).alias("at"))
             .select(
                 F.pmod(F.xxhash64("node", "at"), F.lit(tasks)).alias("task"),
                 *("node", "at.x", "at.y", "block", "c", "label", "n_shingles", "sketch"),
