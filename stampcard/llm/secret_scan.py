@@ -1,9 +1,11 @@
 """Secrets in texts: candidates, and a random forest that removes false ones.
 
 Candidates are found generously: words with digits, assigned values, long words
-of mixed case. Each gets features of its length, its character transitions, how
-much of it dictionary words cover, its path, and its neighbouring words. A
-random forest trained from labelled findings scores them.
+of mixed case. Such a word is cut into all its runs of value characters, and every
+run of eight or more is a candidate (a key before "=" only if it has a digit or
+mixed case), named after the nearest key before it. Each gets features of its length, its
+character transitions, how much of it dictionary words cover, its path, and its
+neighbouring words. A random forest trained from labelled findings scores them.
 
 The dictionary holds the words that a fair part of the training texts contain.
 Training takes at most ``SecretPlan.sample_rows`` labelled findings in
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,6 +40,16 @@ from stampcard.llm.wordhash import groups, white_space, words_of
 CREDENTIAL = re.compile(r"pass(word|wd|phrase)?|pwd|secret|token|api_?key|access_?key|auth|credential|private", re.I)
 TEST_PATH = re.compile(r"test|example|sample|fixture|mock|doc", re.I)
 
+#: Shortest value.
+MIN_VALUE = 8
+#: A word's parts: what may be a key or a value, and the signs that matter between.
+PARTS = re.compile(rb"""[^=:,;&|?#{}\[\]()<>"'` ]+|[=:,;&|?#{} \[\]]""")
+RUN = re.compile(rb"[A-Za-z0-9+/_.@%\-]+")
+RUN_WITH_SIGNS = re.compile(rb"[A-Za-z0-9+/=_.@%\-]+")
+#: The user part of an address ends at its "@", which is not part of a value.
+USER_PART = re.compile(rb"""(://[^/?#@"'<>]*)@""")
+OUTER_KEY = re.compile(r"""([^=:,;&|?#{}\[\]()<>"'`]*)["'`\])]*[=:]+$""")
+
 FEATURES = (
     "length", "digits", "uppers", "lowers", "others", "transitions", "entropy", "pairs",
     "covered", "path_length", "path_test", "assigned", "credential", "before_known", "after_known", "quoted",
@@ -82,12 +95,64 @@ def _covered(value: str, words: frozenset[str]) -> float:
     return covered / max(1, len(low))
 
 
-def _features(value: str, name: str, before: str, after: str, path: str, quoted: bool, words: frozenset[str], pairs: frozenset[str]):
+def value_runs(word: bytes, outer: str = "") -> list[tuple[int, int, str]]:
+    """``begin, end, name`` of all values in a word without white space. The name
+    is the nearest key before "=" or ":", up to the end of its pair or list, and
+    ``outer`` before the first key."""
+    word = USER_PART.sub(rb"\1 ", word)
+    runs: list[tuple[int, int, str]] = []
+    last: list[tuple[int, int, str]] = []  # runs of the last part, which may turn out to be a key
+    key, name, assigned, named, listed = None, outer, False, False, False
+    starts, names, inner = [], [], []
+    for part in PARTS.finditer(word):
+        text, at = part[0], part.start()
+        if text in b"=:":
+            if key is not None:
+                name, key = key, None
+            named = True
+            assigned |= text == b"="
+        elif text in b",;&|?#{} ":
+            assigned, key, listed = False, None, listed and text == b","
+            if not listed:
+                name, named = "", False
+        elif text in b"[]":
+            listed = text == b"["
+        else:
+            is_key = assigned and bool(inner) and not inner[-1] and not names[-1]
+            runs += [x for x in last if not is_key or _stands_alone(word[x[0] : x[1]])]
+            assigned, key = False, text.strip(b"/").decode("utf-8", "replace")
+            last = []
+            for run in RUN.finditer(text):
+                size = len(run[0].rstrip(b".%"))
+                if size >= MIN_VALUE:
+                    last.append((at + run.start(), at + run.start() + size, name))
+            starts.append(at)
+            names.append(name)
+            inner.append(named)
+    runs += last
+    # A value of short parts with "=" between them stays one value.
+    for run in RUN_WITH_SIGNS.finditer(word) if b"=" in word else ():
+        text, at = run[0].rstrip(b"=.%"), run.start()
+        lead = len(text) - len(text.lstrip(b"="))
+        here = bisect_right(starts, at + lead) - 1
+        if not lead and not (here >= 0 and inner[here]):
+            lead = text.find(b"=") + 1
+            here = bisect_right(starts, at + lead) - 1
+        short = text[lead:].split(b"=")
+        if len(short) > 1 and len(text) - lead >= MIN_VALUE and all(len(x.rstrip(b".%")) < MIN_VALUE for x in short):
+            runs.append((at + lead, at + len(text), names[here]))
+    return sorted(runs)
+
+
+def _stands_alone(value: bytes) -> bool:
+    return any(48 <= c < 58 for c in value) or (len(value) >= 16 and sum(65 <= c < 91 for c in value) >= 3)
+
+
+def _features(value: str, name: str, before: bool, after: bool, path: str, quoted: bool, words: frozenset[str], pairs: frozenset[str]):
     n = len(value)
     kinds = _classes(value)
     counts = [value.count(c) / n for c in set(value)]
     letters = [value[i : i + 2].lower() for i in range(n - 1) if value[i : i + 2].isalpha()]
-    clean = lambda w: w.strip("\"'.,;:!?()").lower()
     return (
         float(n),
         *(kinds.count(k) / n for k in "dulo"),
@@ -99,8 +164,8 @@ def _features(value: str, name: str, before: str, after: str, path: str, quoted:
         float(bool(TEST_PATH.search(path))),
         float(bool(name)),
         float(bool(CREDENTIAL.search(name))),
-        float(clean(before) in words),
-        float(clean(after) in words),
+        float(before),
+        float(after),
         float(quoted),
     )
 
@@ -114,7 +179,7 @@ def candidates(docs: DataFrame, words: frozenset[str]) -> DataFrame:
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dictionary, pairs = known.value
-        value_part = re.compile(r"[A-Za-z0-9+/=_.@%\-]*[A-Za-z0-9+/_@\-]")
+        known_word = lambda w: w.strip("\"'.,;:!?()").lower() in dictionary
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             paths, ids = batch.column("path").to_pylist(), batch.column("doc_id").to_pylist()
@@ -127,32 +192,40 @@ def candidates(docs: DataFrame, words: frozenset[str]) -> DataFrame:
                 base = np.concatenate([[0], np.cumsum([len(t) for t in part])[:-1]])[at.row]
                 count = lambda flags: np.diff(np.concatenate([[0], np.cumsum(flags)])[np.stack([at.start + base, at.end + base])], axis=0)[0]  # noqa: E731,B023
                 digits, uppers = count((line >= 48) & (line < 58)), count((line >= 65) & (line < 91))
-                signs = count(line == 61)
+                signs, colons = count(line == 61), count(line == 58)
                 size = at.end - at.start
+                # A colon at a word's end is punctuation.
+                colons = colons - (line[at.end + base - 1] == 58)
                 sign_before = np.concatenate([[False], (signs[:-1] > 0) & (size[:-1] == 1)])
                 sign_before[1:] &= at.row[1:] == at.row[:-1]
-                chosen = ((digits > 0) & (size >= 8)) | ((signs > 0) & (size >= 8)) | sign_before | ((size >= 16) & (uppers >= 3))
+                long = size >= MIN_VALUE
+                chosen = (long & ((digits > 0) | (signs > 0) | (colons > 0))) | sign_before | ((size >= 16) & (uppers >= 3))
                 rows = []
                 for i in np.flatnonzero(chosen).tolist():
                     r = int(at.row[i])
                     text = part[r]
-                    word = text[at.start[i] : at.end[i]].decode("utf-8", "replace")
+                    word = text[at.start[i] : at.end[i]]
                     near = lambda k: text[at.start[k] : at.end[k]].decode("utf-8", "replace") if 0 <= k < len(at.row) and at.row[k] == r else ""  # noqa: E731,B023
-                    name, value = "", word
-                    if "=" in word.rstrip("="):
-                        name, _, value = word.partition("=")
-                    elif sign_before[i]:
-                        name = near(i - 2)
-                    bare = value.lstrip("\"'([{<")
-                    match = value_part.match(bare)
-                    if not match or len(match[0]) < 8:
+                    before, after = near(i - 1), near(i + 1)
+                    outer = ""
+                    if sign_before[i]:
+                        outer = near(i - 2)
+                    elif before.endswith(("=", ":")):
+                        outer = OUTER_KEY.search(before)[1]
+                    elif word[:1] in (b"=", b":"):
+                        outer = before
+                    runs = value_runs(word, outer)
+                    if not runs:
                         continue
-                    begin = int(at.start[i]) + len(word[: len(word) - len(bare)].encode())
-                    path = paths[low + r] or ""
-                    rows.append(
-                        (ids[low + r], paths[low + r], begin, match[0], name)
-                        + _features(match[0], name, near(i - 1), near(i + 1), path, bare != value, dictionary, pairs)
-                    )
+                    path, start = paths[low + r] or "", int(at.start[i])
+                    known_before, known_after = known_word(before), known_word(after)
+                    for begin, end, name in runs:
+                        value = word[begin:end].decode()
+                        quoted = begin > 0 and word[begin - 1] in b"\"'([{<"
+                        rows.append(
+                            (ids[low + r], paths[low + r], start + begin, value, name)
+                            + _features(value, name, known_before, known_after, path, quoted, dictionary, pairs)
+                        )
                 columns = list(zip(*rows)) if rows else [()] * (5 + len(FEATURES))
                 kinds = [batch.schema.field("doc_id").type, pa.string(), pa.int64(), pa.string(), pa.string()]
                 kinds += [pa.float64()] * len(FEATURES)

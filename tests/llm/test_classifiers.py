@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from stampcard.llm.language_id import fit_languages, identify
@@ -120,3 +121,43 @@ def test_secret_scan_odd_rows(spark):
     assert train_forest(format_labels(found).withColumn("label", F.lit(None).cast("int"))) is None
     assert {r.is_secret for r in score_findings(found, None).collect()} == {False}
     assert candidates(docs.limit(0), frozenset()).collect() == []
+
+
+@pytest.mark.parametrize(
+    "form, name",
+    [
+        ('{{"id":7,"token":"{0}","next":{{"api_key":"{1}"}}}}', "token"),
+        ("https://h/y?id=7&token={0}&x=1&secret={1}", "token"),
+        ("id=1;token={0};n=2,{1}", "token"),
+        ("1,2,{0},x,{1}", ""),
+        ("postgres://app:{0}@db:5432/x?password={1}", "app"),
+        ("日本語token:{0}日本語{1}", "日本語token"),
+        ('"keys":["{0}","{1}"]', "keys"),
+        ("token={0}=={1}", "token"),
+    ],
+)
+def test_secret_scan_takes_every_value_of_a_word(spark, form, name):
+    """Several secrets in one word, against a search for where they were put."""
+    rng = random.Random(form)
+    texts, planted = [], set()
+    for i in range(20):
+        values = ["".join(rng.choices("0123456789abcdef", k=rng.randrange(18, 41))) for _ in "ab"]
+        glue = rng.choice([" ", ";", "é"])
+        texts.append((i, "é " + glue.join([form.format(*values)] * 3), "p"))
+        data = texts[-1][1].encode()
+        for value in values:
+            at = -1
+            while (at := data.find(value.encode(), at + 1)) >= 0:
+                planted.add((i, at, value))
+    rows = candidates(spark.createDataFrame(texts, "doc_id bigint, text string, path string"), frozenset()).collect()
+    found = {(r.doc_id, r.begin, r.value): r.name for r in rows}
+    assert len(planted) == 120 and planted <= found.keys()
+    assert len(rows) == len(found)
+    first = {i: min(p for p in planted if p[0] == i) for i, _, _ in texts}
+    assert {found[p] for p in first.values()} == {name}
+
+
+def test_secret_scan_keeps_a_value_of_short_parts(spark):
+    docs = spark.createDataFrame([(1, "key=abcd=1234 QWxhZGRpbjpv=", "p")], "doc_id bigint, text string, path string")
+    got = sorted((r.begin, r.value, r.name) for r in candidates(docs, frozenset()).collect())
+    assert got == [(4, "abcd=1234", "key"), (14, "QWxhZGRpbjpv", "")]
