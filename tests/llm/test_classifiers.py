@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stampcard.llm.language_id import fit_languages, identify
 from stampcard.llm.queries import QUERIES
-from stampcard.llm.secret_scan import candidates, format_labels, score_findings, train_forest
+from stampcard.llm.secret_scan import SecretPlan, candidates, dictionary, format_labels, score_findings, train_forest
 from stampcard.llm.toxicity import fit_toxicity, maximal_segments, score_toxicity
 
 
@@ -161,3 +161,17 @@ def test_secret_scan_keeps_a_value_of_short_parts(spark):
     docs = spark.createDataFrame([(1, "key=abcd=1234 QWxhZGRpbjpv=", "p")], "doc_id bigint, text string, path string")
     got = sorted((r.begin, r.value, r.name) for r in candidates(docs, frozenset()).collect())
     assert got == [(4, "abcd=1234", "key"), (14, "QWxhZGRpbjpv", "")]
+
+
+def test_secret_dictionary_counts_all_texts(spark):
+    """More texts than a sample would hold; one word just reaches the share, one just misses it."""
+    n = 45_000
+    row = F.col("id")
+    text = F.concat_ws(
+        " ",
+        F.concat(F.lit("text "), F.translate(row.cast("string"), "0123456789", "abcdefghij")),
+        F.when(row < n * 0.02, "Reached reached").otherwise(""),
+        F.when(row < n * 0.02 - 1, "missed").otherwise(""),
+    )
+    assert dictionary(spark.range(n).select(text.alias("text")), SecretPlan()) == {"text", "reached"}
+    assert dictionary(spark.range(0).select(text.alias("text")), SecretPlan()) == frozenset()
