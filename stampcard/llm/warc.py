@@ -18,12 +18,15 @@ text of the candidates that its record covers.
 Defined results: a null payload is an empty one; a null id is written as no id
 and read back as null; of equal payloads the row with the smallest id (nulls
 last) is the response, and rows equal to it (id and payload) are written like
-it; a record cut off at a file's end
-raises an error when read.
+it; a record cut off at a file's end, or a response whose payload is not
+the one its SHA-256 names, raises an error when read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -106,7 +109,8 @@ def write_warc(rows: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z") -
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
     """The archives of a folder, cut at version lines. ``row`` numbers the
-    pieces of a block in order; it is the same in every scan of the folder."""
+    pieces of a block in order; it is the same in every scan of the folder, if
+    the scans are split alike (see ``_same_splits``)."""
     return (
         spark.read.option("lineSep", VERSION_LINE)
         .text(path)
@@ -120,6 +124,22 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+@contextmanager
+def _same_splits(spark: SparkSession) -> Iterator[None]:
+    """Scans inside split a folder alike. Unless told, Spark takes the size of a
+    split from the number of cores, which changes as executors come and go."""
+    name = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, before or spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if before:
+            spark.conf.set(name, before)
+        else:
+            spark.conf.unset(name)
+
+
 def candidates(pieces: DataFrame) -> DataFrame:
     """One row per piece, without its text: ``offset`` of its version line
     (below 0 for what precedes a file's first one), the ``successor`` it claims
@@ -252,10 +272,10 @@ def _entries(exits: DataFrame) -> DataFrame:
         )
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """The records of the archives in ``path``: ``id, uri, record_type,
-    refers_to, payload_bytes, payload_digest`` (both of the full payload, for a
-    revisit that of its response)."""
+def _whole_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records with what their headers say and the ``digest`` of their own
+    payload. The folder is scanned twice: for candidates, and for the bodies of
+    the records that reach over several pieces."""
     pieces = _pieces(spark, path)
     found = written(_with_offsets(written(candidates(pieces), "warc-candidates")), "warc-offsets")
     chain = found.filter("offset >= 0").select("file", "block", "row", "offset", "successor")
@@ -293,13 +313,24 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         .agg(text.alias("text"))
         .select("file", F.col("record").alias("offset"), F.sha2(payload, 256).alias("joined"))
     )
-    whole = written(
+    return written(
         records.join(joined, ["file", "offset"], "left").select(
             "id", "uri", "record_type", "refers_to", "claimed", "length", F.coalesce("digest", "joined").alias("digest")
         ),
         "warc-records",
     )
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """The records of the archives in ``path``: ``id, uri, record_type,
+    refers_to, payload_bytes, payload_digest`` (both of the full payload, for a
+    revisit that of its response)."""
+    with _same_splits(spark):
+        whole = _whole_records(spark, path)
     revisit = F.col("record_type") == "revisit"
+    hashed = F.col("claimed").rlike("^[0-9a-fA-F]{64}$")
+    if whole.filter(~revisit & hashed & ~F.lower("claimed").eqNullSafe(F.col("digest"))).head(1):
+        raise ValueError(f"an archive in {path} has a response whose payload is not the one its digest names")
     targets = whole.filter(revisit).select(F.col("refers_to").alias("r"), F.col("claimed").alias("c")).distinct()
     responses = (
         whole.filter(~revisit)

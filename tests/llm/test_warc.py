@@ -81,3 +81,32 @@ def test_cut_off_archive_is_an_error(spark, tmp_path):
     (tmp_path / "a.warc").write_text(record, newline="")
     with pytest.raises(ValueError):
         warc.read_warc(spark, str(tmp_path)).count()
+
+
+def test_cores_that_come_and_go_between_the_scans(spark, monkeypatch):
+    """The number of cores decides the splits; it changes after the first scan."""
+    rows, entries = hostile_rows(120), warc._entries
+    path = scratch_path(spark, "warc-cores")
+    warc.write_warc(spark.createDataFrame(rows, SCHEMA).coalesce(2), path)
+
+    def changed(exits):
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "31")
+        return entries(exits)
+
+    monkeypatch.setattr(warc, "_entries", changed)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = result(warc.read_warc(spark, path))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    assert got == expected(rows)
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+
+
+def test_payload_that_is_not_the_claimed_one_is_an_error(spark, tmp_path):
+    digest = hashlib.sha256(b"other").hexdigest()
+    record = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Payload-Digest: sha256:{digest}\r\nContent-Length: 5\r\n\r\nshort\r\n\r\n"
+    (tmp_path / "a.warc").write_text(record, newline="")
+    with pytest.raises(ValueError, match="digest"):
+        warc.read_warc(spark, str(tmp_path)).count()
