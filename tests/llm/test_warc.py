@@ -110,3 +110,17 @@ def test_payload_that_is_not_the_claimed_one_is_an_error(spark, tmp_path):
     (tmp_path / "a.warc").write_text(record, newline="")
     with pytest.raises(ValueError, match="digest"):
         warc.read_warc(spark, str(tmp_path)).count()
+
+
+def test_many_hostile_rows_at_the_smallest_split(spark):
+    """Paths over very many blocks, and a repeated payload that spans dozens."""
+    rows = hostile_rows(120)
+    rows += [(500 + i, None, rows[0][2] * 9) for i in range(4)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = result(warc.round_trip(spark.createDataFrame(rows, SCHEMA).coalesce(2)))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == expected(rows)
