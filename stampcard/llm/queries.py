@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from stampcard.llm.collision_ann import nearest_neighbours
 from stampcard.llm.common import crc_part, table, written
+from stampcard.llm.filter_audit import audit, mask_counts
 from stampcard.llm.hamming_topk import nearest_codes, sign_code
 from stampcard.llm.language_id import fit_languages, identify
 from stampcard.llm.line_dedup import dedup_lines
+from stampcard.llm.markov_lm import score_texts
 from stampcard.llm.minhash_join import near_duplicates
 from stampcard.llm.mixing import mix_sources
 from stampcard.llm.piece_encoding import encode, read_model
 from stampcard.llm.secret_scan import SecretPlan, candidates, dictionary, format_labels, score_findings, train_forest
 from stampcard.llm.toxicity import ToxicityModel, fit_toxicity, score_toxicity
+from stampcard.llm.turn_repair import damaged, repair_report
 from stampcard.llm.warc import round_trip
 
 
@@ -110,6 +113,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_markov_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_texts(docs, crc_part(F.col("doc_id"), 10) == 0)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(mask_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair_report(damaged(rows), rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
@@ -121,4 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_join": op8_minhash_join,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op11_markov_lm": op11_markov_lm,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_turn_repair": op13_turn_repair,
 }

@@ -23,7 +23,7 @@ def duck(sf_dir):
 def test_entry_has_one_query_for_each_operator_and_the_pipeline():
     names = set(contract.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(contract.oracle_sql())
 
 
