@@ -174,7 +174,7 @@ def encoded(docs: DataFrame, model: MarkovModel, held_out: Column) -> DataFrame:
                 classes[inner] = m.own + np.mod(word, m.plan.other_classes)
                 classes[np.flatnonzero(inner)[there]] = m.classes[at[there]]
                 seen, of = row[there], at[there]
-                sums = [np.bincount(seen, w, n) for w in (in_base[of], in_class[of])]
+                sums = [np.bincount(seen, w, n).astype(np.float64) for w in (in_base[of], in_class[of])]
                 hits = np.bincount(seen, minlength=n) + (m.texts > 0)
                 # The other words, each once per text.
                 other_row, other = row[~there], word[~there]

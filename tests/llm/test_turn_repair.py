@@ -82,7 +82,7 @@ def conversations(rng, count, most):
 
 def test_the_cheapest_and_least_of_all_edits(spark):
     rng = random.Random(5)
-    rows = conversations(rng, 150, 4)
+    rows = conversations(rng, 120, 3)
     want = {c: by_hand([r for r in rows if r[0] == c]) for c in {r[0] for r in rows}}
     assert report(spark, rows) == want
 
