@@ -71,9 +71,13 @@ def transaction_id(mode: str, processed_at: Column) -> Column:
 
 
 def to_transactions(
-    accepted: DataFrame, cfg: EngineConfig, processed_at: Column | None = None
+    accepted: DataFrame,
+    cfg: EngineConfig,
+    processed_at: Column | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Point transactions of accepted check-ins that carry their order."""
+    """Point transactions of accepted check-ins that carry their order, with
+    the columns named in ``keep`` behind."""
     clock = F.localtimestamp() if processed_at is None else processed_at
     return accepted.select(
         transaction_id(cfg.id_mode, clock).alias("transaction_id"),
@@ -86,6 +90,7 @@ def to_transactions(
         "event_timestamp",
         clock.alias("processed_at"),
         "metadata",
+        *keep,
     )
 
 

@@ -94,38 +94,53 @@ def settle(ruled: DataFrame, cfg: EngineConfig, cut: Cut) -> DataFrame:
 
     Every event proposes its earliest copy to that copy's month. A month keeps
     the first proposals by arrival that it has room for; a month that is full
-    stays full, so a rejected event proposes its next copy in another month.
-    When no rejected event has one left, what the months keep is what a fold
-    over the events in order would accept: an event's copy is turned down
-    exactly if the month was filled by accepted copies that arrived before it.
-
-    Only events with copies in several months take part in a further round.
-    Ranks are limited to the quota before and after the shuffle. Rounds are cut
-    and go on until nothing changes.
+    stays full, and takes nothing that arrives after the last one it keeps. Such
+    copies are out, proposed or not, and their events propose the next copy in
+    another month. When no month's last one changes any more, what the months
+    keep is what a fold over the events in order would accept: an event's copy
+    is turned down exactly if the month was filled by accepted copies that
+    arrived before it.
+
+    A round writes one row per full month and nothing else; the next one starts
+    from the same verdicts. Ranks are limited to the quota before and after the
+    shuffle.
     """
     free = ~F.col("in_state") & ~F.col("in_ledger") & _has_quota(cfg)
     rows = ruled.filter(free).select(*COPY_KEY, "month_count", "first_arrival")
-    month = Window.partitionBy("user_id", "quota_month").orderBy("first_arrival")
-    while True:
-        event = Window.partitionBy(*EVENT_KEY)
-        proposals = cut(
-            rows.withColumn("__first", F.min("first_arrival").over(event))
-            .withColumn("__more", F.count(F.lit(1)).over(event) > 1)
-            .filter(F.col("first_arrival") == F.col("__first"))
-            .drop("__first")
+    month_key = ["user_id", "quota_month"]
+    month = Window.partitionBy(*month_key).orderBy("first_arrival")
+    room = F.lit(cfg.max_per_month) - F.col("month_count")
+
+    def proposals(full: DataFrame | None) -> DataFrame:
+        if full is None:
+            return first_per_key(rows, EVENT_KEY, "first_arrival")
+        open_ = rows.join(full, month_key, "left").filter(
+            F.col("__last").isNull() | (F.col("first_arrival") <= F.col("__last"))
         )
-        kept = cut(
-            proposals.withColumn("__rank", F.row_number().over(month))
+        return first_per_key(open_.drop("__last"), EVENT_KEY, "first_arrival")
+
+    full, before = None, None
+    while True:
+        kept = (
+            proposals(full)
+            .withColumn("__rank", F.row_number().over(month))
             .filter(F.col("__rank") <= F.lit(cfg.max_per_month))
-            .filter(F.col("month_count") + F.col("__rank") <= F.lit(cfg.max_per_month))
-            .withColumn("checkin_order", (F.col("month_count") + F.col("__rank")).cast("int"))
-            .drop("__rank", "__more")
+            .filter(F.col("__rank") <= room)
         )
-        rejected = proposals.join(kept.select(*COPY_KEY), COPY_KEY, "left_anti")
-        if not rejected.filter("__more").head(1):
+        ends = kept.groupBy(*month_key).agg(
+            F.max("first_arrival").alias("__last"), F.max(F.col("__rank") - room).alias("__left")
+        )
+        full = cut(ends.filter("__left = 0").select(*month_key, "__last"))
+        now = full.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*month_key, "__last"))).head()
+        if now[0] == 0 or now == before:
             break
-        rows = cut(rows.join(rejected.select(*COPY_KEY), COPY_KEY, "left_anti"))
-    accepted = kept.select(*EVENT_KEY, F.col("first_arrival").alias("__accepted"), "checkin_order")
+        before = now
+    # What is still proposed is kept, so a month has no more rows than its quota.
+    accepted = proposals(full).select(
+        *EVENT_KEY,
+        F.col("first_arrival").alias("__accepted"),
+        (F.col("month_count") + F.row_number().over(month)).cast("int").alias("checkin_order"),
+    )
     joined = ruled.join(accepted, EVENT_KEY, "left")
     first_mark = F.when(F.col("in_ledger"), F.col("first_mark")).otherwise(F.col("__accepted"))
     return joined.withColumn("first_mark", first_mark).drop("__accepted")

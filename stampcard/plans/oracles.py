@@ -185,7 +185,6 @@ orders_ranked AS (
 ORACLES: dict[str, str] = {
     "award_points_live": _sql(_TX_COLUMNS, _transactions("snapshot", _CLOCK_ID)),
     "award_points_sequential": _sql(_TX_COLUMNS, _transactions("sequential", _CLOCK_ID)),
-    "live_stream_available_now": _sql(_TX_COLUMNS, _transactions("snapshot", _EVENT_ID)),
     "audit_checkins": _sql(_PROCESSED_COLUMNS, _processed("snapshot")),
     "audit_checkins_sequential": _sql(_PROCESSED_COLUMNS, _processed("sequential")),
     "decode_checkins": _sql(f"""
@@ -260,8 +259,6 @@ SELECT event_id, user_id, {_DATE.format("checkin_date")} AS checkin_date,
 FROM checkins c
 WHERE NOT EXISTS (SELECT 1 FROM checkins e WHERE e.user_id = c.user_id
                   AND e.event_id = c.event_id AND e.arrival_seq < c.arrival_seq)"""),
-    "dedup_stream_available_now": _sql("""
-SELECT event_id, user_id, min(arrival_seq) AS arrival_seq FROM checkins GROUP BY ALL"""),
     "decision_status": _sql("""
 SELECT arrival_seq, event_id, user_id, status,
        CASE WHEN status = 'ACCEPT' THEN checkin_order END AS checkin_order
@@ -316,6 +313,99 @@ GROUP BY u.id""", _processed("sequential"), _APPLIED),
         _transactions("snapshot", _CLOCK_ID),
     ),
 }
-# The ledger stream starts from the same ledger and takes the check-ins in one
-# batch, so its balances are those of the batch pipeline.
-ORACLES["ledger_stream_available_now"] = ORACLES["user_balances"]
+
+# The streams take the check-ins in three batches, four days apart: what the
+# first batch marked has expired in the third one.
+_BATCHES = """
+batched AS (
+  SELECT *, CASE WHEN arrival_seq < h THEN 0 WHEN arrival_seq < h + 1500 THEN 1 ELSE 2 END AS batch
+  FROM looked_up, (SELECT max(event_id) * 10 // 2 AS h FROM events))
+"""
+
+
+def _clock(batch: str) -> str:
+    return f"strftime(TIMESTAMP '{NOW}' + INTERVAL 4 DAY * {batch}, '%Y-%m-%d %H:%M:%S.%f')"
+
+
+_REMEMBERED = """
+marking AS (
+  SELECT user_id, event_id, min(CASE WHEN {0} AND batch = 0 THEN arrival_seq END) AS a0,
+         min(CASE WHEN {0} AND batch = 1 THEN arrival_seq END) AS a1,
+         min(CASE WHEN {0} AND batch = 2 THEN arrival_seq END) AS a2
+  FROM batched GROUP BY ALL),
+ruled AS (
+  SELECT b.*, CASE batch WHEN 0 THEN false WHEN 1 THEN a0 IS NOT NULL ELSE a1 IS NOT NULL AND a0 IS NULL END
+              OR arrival_seq > coalesce(CASE batch WHEN 0 THEN a0 WHEN 1 THEN a1 ELSE a2 END, arrival_seq) AS in_state
+  FROM batched b JOIN marking m ON m.user_id = b.user_id AND m.event_id = b.event_id)
+"""
+
+ORACLES["dedup_stream_available_now"] = _sql(
+    "SELECT event_id, user_id, arrival_seq FROM ruled WHERE NOT in_state", _BATCHES, _REMEMBERED.format("true")
+)
+ORACLES["live_stream_available_now"] = _sql(
+    _TX_COLUMNS.replace(_NOW_TEXT, _clock("batch")),
+    _BATCHES,
+    _REMEMBERED.format("(in_ledger OR month_count < 7)"),
+    """
+streamed AS (
+  SELECT *, CASE WHEN in_state THEN 'DUP_STATE' WHEN in_ledger THEN 'DUP_LEDGER'
+                 WHEN month_count >= 7 THEN 'LIMIT' ELSE 'ACCEPT' END AS status,
+         CAST(month_count + 1 AS INTEGER) AS checkin_order
+  FROM ruled)""",
+    _transactions("streamed", _EVENT_ID).replace("event_timestamp, n\n", "event_timestamp, n, batch\n"),
+)
+
+
+def _ledger_batch(b: int) -> str:
+    """One batch of the ledger stream: its events are folded in turn against the
+    ledger as the batch before left it (``days_b``, ``log_b``)."""
+    return f"""
+seen_{b} AS (
+  SELECT c.user_id, c.event_id, c.checkin_date, c.arrival_seq,
+         year(c.checkin_date) * 100 + month(c.checkin_date) AS ym,
+         row_number() OVER (PARTITION BY c.user_id ORDER BY c.arrival_seq) AS turn,
+         (SELECT count(*) FROM days_{b} d WHERE d.user_id = c.user_id
+            AND date_trunc('month', d.checkin_date) = date_trunc('month', c.checkin_date)) AS month_count,
+         EXISTS (SELECT 1 FROM log_{b} g WHERE g.event_id = c.event_id) AS in_ledger
+  FROM batched c WHERE c.batch = {b}),
+fold_{b} AS (
+  SELECT user_id, CAST(0 AS BIGINT) AS turn, CAST([] AS VARCHAR[]) AS marked, CAST([] AS BIGINT[]) AS taken,
+         CAST(NULL AS BIGINT) AS arrival_seq, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS BIGINT) AS used
+  FROM (SELECT DISTINCT user_id FROM seen_{b})
+  UNION ALL
+  SELECT user_id, turn,
+         CASE WHEN status IN ('ACCEPT', 'DUP_LEDGER') THEN list_append(marked, event_id) ELSE marked END,
+         CASE WHEN status = 'ACCEPT' THEN list_append(taken, ym) ELSE taken END, arrival_seq, status, used
+  FROM (
+    SELECT *, CASE WHEN list_contains(marked, event_id) THEN 'DUP_STATE' WHEN in_ledger THEN 'DUP_LEDGER'
+                   WHEN used >= 7 THEN 'LIMIT' ELSE 'ACCEPT' END AS status
+    FROM (
+      SELECT t.*, f.marked, f.taken, t.month_count + len([x FOR x IN f.taken IF x = t.ym]) AS used
+      FROM fold_{b} f JOIN seen_{b} t ON t.user_id = f.user_id AND t.turn = f.turn + 1))),
+told_{b} AS (
+  SELECT s.*, f.status, CAST(f.used + 1 AS INTEGER) AS checkin_order,
+         f.status = 'ACCEPT' AND NOT EXISTS (SELECT 1 FROM customer u WHERE u.c_custkey = s.user_id)
+         AND NOT EXISTS (SELECT 1 FROM days_{b} d WHERE d.user_id = s.user_id AND d.checkin_date = s.checkin_date) AS strange
+  FROM seen_{b} s JOIN fold_{b} f ON f.user_id = s.user_id AND f.arrival_seq = s.arrival_seq),
+added_{b} AS (
+  SELECT user_id, checkin_date, checkin_order, {b} AS batch FROM told_{b} s
+  WHERE status = 'ACCEPT' AND NOT strange
+    AND NOT EXISTS (SELECT 1 FROM days_{b} d WHERE d.user_id = s.user_id AND d.checkin_date = s.checkin_date)
+  QUALIFY row_number() OVER (PARTITION BY user_id, checkin_date ORDER BY arrival_seq) = 1),
+days_{b + 1} AS (SELECT user_id, checkin_date FROM days_{b} UNION ALL SELECT user_id, checkin_date FROM added_{b}),
+log_{b + 1} AS (SELECT event_id FROM log_{b} UNION SELECT event_id FROM told_{b} WHERE NOT strange)"""
+
+
+ORACLES["ledger_stream_available_now"] = _sql(
+    f"""
+SELECT u.c_custkey AS id,
+       CAST(coalesce(sum({_POINTS.format("a.checkin_order")}) FILTER (a.user_id IS NOT NULL), 0) AS BIGINT) AS total_points,
+       CASE WHEN count(a.user_id) > 0 THEN {_clock("max(a.batch)")} END AS updated_at
+FROM customer u LEFT JOIN (
+  SELECT * FROM added_0 UNION ALL SELECT * FROM added_1 UNION ALL SELECT * FROM added_2) a ON a.user_id = u.c_custkey
+GROUP BY u.c_custkey""",
+    _BATCHES,
+    "days_0 AS (SELECT user_id, checkin_date FROM daily)",
+    "log_0 AS (SELECT event_id FROM logged)",
+    *[_ledger_batch(b) for b in range(3)],
+)

@@ -84,3 +84,10 @@ def lasting_path(spark: SparkSession, name: str) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder for a table that only cuts a plan."""
     return f"{shared_folder(spark)}/stampcard/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the jobs' own, on whatever store it is; one that is
+    not there is none."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

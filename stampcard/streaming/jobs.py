@@ -33,10 +33,10 @@ from stampcard.functions.rules import (
 )
 from stampcard.operators.decide import EVENT_KEY, apply_verdicts, verdicts, with_orders
 from stampcard.operators.ledger import apply_ledger
-from stampcard.operators.lookups import matching
 from stampcard.schemas import LEDGER_DDL
 from stampcard.sources import kafka, wire
-from stampcard.sources.tables import BatchJournal, FileLedger, JdbcLedger, month_range
+from stampcard.sources.database import DatabaseLedger
+from stampcard.sources.tables import BatchJournal, FileLedger, month_range
 
 LOG = logging.getLogger(__name__)
 
@@ -44,6 +44,7 @@ LOG = logging.getLogger(__name__)
 FIRST_DAY = dt.date(1970, 1, 1)
 
 Clock = Callable[[], dt.datetime]
+Ledger = FileLedger | DatabaseLedger
 Sink = Callable[[DataFrame, str], None]
 
 
@@ -65,9 +66,16 @@ def file_sink(path: str) -> Sink:
 
 
 def kafka_sink(cfg: EngineConfig) -> Sink:
+    """Send each user's records in the order of arrival."""
     return lambda transactions, batch: kafka.write_transactions(transactions, cfg)
 
 
+def by_user(transactions: DataFrame) -> DataFrame:
+    """A batch's transactions as a sink gets them: a user's rows in one
+    partition, which is where a broker's key puts them anyway, by arrival."""
+    return transactions.repartition("user_id").sortWithinPartitions("user_id", "arrival_seq")
+
+
 def observe_outcomes(decided: DataFrame, name: str = "outcomes") -> tuple[DataFrame, Observation]:
     """Count outcomes while the rows pass by, without a job of its own."""
     observation = Observation(name)
@@ -187,6 +195,11 @@ class Job:
         now = self.journal.clock(name, self.clock())
         self.work(Batch(name, now, self._staged(batch_df, name)))
         self.journal.note(name, "finished", now)
+        self.journal.forget_before(name)
+        self.tidy(name)
+
+    def tidy(self, name: str) -> None:
+        """What may be done between two batches."""
 
     def _staged(self, batch_df: DataFrame, name: str) -> DataFrame:
         if self.on_error is None:
@@ -198,22 +211,16 @@ class Job:
         bad.write.mode("overwrite").parquet(f"{self.state}/quarantine/batch={name}")
         return good
 
-    def looked_up(
-        self, ledger: FileLedger | JdbcLedger, batch: Batch
-    ) -> tuple[DataFrame, DataFrame]:
-        """The daily rows and log rows a batch can meet, read now. A ledger is
+    def looked_up(self, ledger: Ledger, batch: Batch) -> tuple[DataFrame, DataFrame]:
+        """The daily rows and logged ids a batch can meet, read now. A ledger is
         far larger than a batch, so only these take part in the joins."""
         months = month_range(batch.checkins)
         if months is None:
             # A batch without rows asks the ledger nothing.
             none = self.spark.createDataFrame([], LEDGER_DDL["daily_checkin"])
             return none, self.spark.createDataFrame([], "event_id string")
-        daily = ledger.daily_checkin(months, batch.name)
-        logged = ledger.checkin_events(batch.name).select("event_id")
-        return (
-            self.cut(matching(daily, batch.checkins, "user_id"), "daily"),
-            self.cut(matching(logged, batch.checkins, "event_id"), "logged"),
-        )
+        daily, logged = ledger.lookup(batch.checkins, months, batch.name)
+        return self.cut(daily, "daily"), self.cut(logged, "logged")
 
     def ruled(self, rows: DataFrame) -> DataFrame:
         """Verdicts with orders; each round of settling has a folder."""
@@ -235,7 +242,7 @@ class LiveJob(Job):
         self,
         spark: SparkSession,
         cfg: EngineConfig,
-        ledger: FileLedger | JdbcLedger,
+        ledger: Ledger,
         sink: Sink,
         state: str,
         on_error: str | None = None,
@@ -261,40 +268,56 @@ class LiveJob(Job):
         accepted = decided.filter(F.col("status") == ACCEPT)
         # Cut before it is handed over: a sink may run several actions, or none,
         # and the counts below wait for one.
-        sent = self.cut(to_transactions(accepted, self.cfg, time_literal(batch.now)), "sent")
-        self.sink(sent, batch.name)
+        rows = to_transactions(accepted, self.cfg, time_literal(batch.now), ["arrival_seq"])
+        sent = self.cut(rows, "sent")
+        self.sink(by_user(sent).drop("arrival_seq"), batch.name)
         LOG.info("batch %s: %s", batch.name, outcomes.get)
 
+    def tidy(self, name: str) -> None:
+        self.ledger.release(name)
+
 
 class LedgerJob(Job):
     """Decide a batch and apply it to the ledger.
 
     The event log is the state here: whatever was decided before is logged
-    there, for good and for any user, so no list of seen events is kept.
+    there, for good and for any user, so no list of seen events is kept. A
+    batch that the ledger has is not decided again. ``merge_every`` batches of a
+    file ledger are merged into one folder, between two batches.
     """
 
     def __init__(
         self,
         spark: SparkSession,
         cfg: EngineConfig,
-        ledger: FileLedger,
+        ledger: Ledger,
         state: str,
         on_missing: str = "fail",
         on_error: str | None = None,
         clock: Clock = utc_now,
+        merge_every: int = 16,
     ) -> None:
         super().__init__(spark, cfg, state, on_error, clock)
         self.ledger = ledger
         self.on_missing = on_missing
+        self.merge_every = merge_every
+
+    def tidy(self, name: str) -> None:
+        self.ledger.release(name)
+        if isinstance(self.ledger, FileLedger):
+            self.ledger.merge_batches(self.merge_every)
 
     def work(self, batch: Batch) -> None:
+        if self.ledger.has(batch.name):
+            LOG.info("batch %s is in the ledger already", batch.name)
+            return
         daily, logged = self.looked_up(self.ledger, batch)
         ruled = self.cut(self.ruled(verdicts(batch.checkins, daily, logged, self.cfg)), "ruled")
         decided, outcomes = observe_outcomes(apply_verdicts(batch.checkins, ruled))
         processed = self.cut(to_processed(decided, self.cfg), "processed")
         LOG.info("batch %s: %s", batch.name, outcomes.get)
         now = time_literal(batch.now)
-        users = matching(self.ledger.known_users(), batch.checkins, "id", "user_id")
+        users = self.ledger.known_users(batch.checkins, batch.name)
         changes = apply_ledger(
             processed,
             users,

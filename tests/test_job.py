@@ -1,10 +1,18 @@
+import json
+
 import pytest
 
-from stampcard import EngineConfig
+from test_streaming import BATCHES, contents, new_ledger
+
+from stampcard import EngineConfig, job
 from stampcard.config import OPTION_FIELDS
-from stampcard.job import config_of, parse
-from stampcard.session import job_path, lasting_path, scratch_path, set_parallelism
-from stampcard.sources import kafka, tables
+from stampcard.job import config_of, name_of, parse
+from stampcard.schemas import RAW_RECORD_DDL
+from stampcard.session import job_path, lasting_path, remove_path, scratch_path, set_parallelism
+from stampcard.sources import kafka
+from stampcard.sources.database import DatabaseLedger
+from stampcard.sources.tables import FileLedger
+from stampcard.streaming.jobs import LedgerJob, LiveJob
 
 
 def test_all_options_are_understood():
@@ -44,34 +52,11 @@ def test_arrival_order_of_records(spark):
     assert seqs == [1 << 48, 5, 4_000_000_000]
 
 
-def test_jdbc_options():
-    cfg = EngineConfig(jdbc_url="u", jdbc_username="n", jdbc_password="p")
-    assert tables.jdbc_options(cfg, "users") == {
-        "url": "u", "dbtable": "users", "user": "n", "password": "p", "fetchsize": "10000", "useCursorFetch": "true",
-    }
-
-
-def test_ledger_split():
-    assert getattr(parse(["--ledger.split", "1,900,8"]), "ledger.split") == (1, 900, 8)
-    assert getattr(parse([]), "ledger.split") is None
-    for bad in ("1,2", "5,1,2", "1,2,0", "x"):
-        with pytest.raises(SystemExit):
-            parse(["--ledger.split", bad])
-
-
 def test_shared_folder(spark):
     assert job_path(spark, "a") == job_path(spark, "a")
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
 
 
-def test_merge_statements_name_the_ledger_columns():
-    users, daily, history, log = tables.merge_statements()
-    assert users.startswith("UPDATE users")
-    assert "staged_daily_checkin WHERE batch = :batch" in daily
-    assert "`transaction_type`" in history
-    assert log.startswith("INSERT IGNORE INTO checkin_events (`event_id`, ")
-
-
 class _Session:
     """A session that names no shared folder."""
 
@@ -97,3 +82,49 @@ def test_parallelism_sets_the_shuffle_width(spark):
 def test_the_command_needs_a_lasting_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         lasting_path(_Session("local[4]"), "a")
+
+
+def test_which_job_on_which_ledger(spark, tmp_path):
+    for argv, kind, ledger, name in (
+        ([], LiveJob, DatabaseLedger, "award-points"),
+        (["--job", "ledger", "--ledger.parts", "3"], LedgerJob, DatabaseLedger, "keep-ledger"),
+        (["--job", "ledger", "--ledger", "/x", "--job.name", "mine", "--on.missing", "quarantine"], LedgerJob, FileLedger, "mine"),
+    ):
+        args = parse(argv)
+        made = job.job_of(spark, args, config_of(args), f"{tmp_path}/{name}")
+        assert (type(made), type(made.ledger), name_of(args)) == (kind, ledger, name)
+        assert getattr(made.ledger, "parts", 0) == (3 if "3" in argv else 8 if ledger is DatabaseLedger else 0)
+        assert getattr(made, "on_missing", "fail") == ("quarantine" if name == "mine" else "fail")
+    for bad in (["--job", "x"], ["--ledger.parts", "0"], ["--max.offsets.per.trigger", "-1"]):
+        with pytest.raises(SystemExit):
+            parse(bad)
+
+
+def put(spark, folder, n):
+    records = [
+        (str(user), json.dumps({"eventId": event, "userId": user, "checkinDate": f"2024-01-{date:02}", "yearMonth": "2024-01"}), 0, n * 100 + k)
+        for k, (event, user, date) in enumerate(BATCHES[n])
+    ]
+    spark.createDataFrame(records, RAW_RECORD_DDL).coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_both_commands_on_file_streams(spark, tmp_path, monkeypatch):
+    ledger = new_ledger(spark, tmp_path)
+    monkeypatch.setattr(job, "lasting_path", lambda _, name: f"{tmp_path}/{name}")
+    common = ["--source", f"{tmp_path}/in", "--ledger", f"{tmp_path}/ledger", "--available.now", "--max.checkin.per.month", "2", "--points.sequence", "1,2"]
+    for n in range(len(BATCHES)):
+        put(spark, f"{tmp_path}/in", n)
+        job.main([*common, "--sink", f"{tmp_path}/out"])
+        job.main(["--job", "ledger", *common])
+    daily, logged, total = contents(ledger)
+    assert logged == ["a", "b", "c", "d", "e", "f", "g", "h"] and total[4] == 1
+    sent = {(r.batch.rsplit("-", 1)[-1], r.user_id, r.event_id) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert {("0", 1, "a"), ("0", 1, "b"), ("0", 1, "d"), ("0", 2, "c")} <= sent
+    assert ("1", 3, "a") not in sent and ("1", 4, "g") in sent
+
+
+def test_remove_path(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/x")
+    remove_path(spark, f"{tmp_path}/x")
+    remove_path(spark, f"{tmp_path}/x")
+    assert not (tmp_path / "x").exists()

@@ -10,7 +10,7 @@ from test_ledger import USERS
 from stampcard import EngineConfig
 from stampcard.schemas import LEDGER_DDL, RAW_RECORD_DDL
 from stampcard.sources import kafka
-from stampcard.sources.tables import FileLedger
+from stampcard.sources.tables import USER_POINTS_DDL, FileLedger
 from stampcard.streaming.dedup_state import dedup_stream, keep_first_copies
 from stampcard.streaming.jobs import (
     LedgerJob,
@@ -39,6 +39,17 @@ def new_ledger(spark, root, users=range(5), daily=(), logged=()):
     )
 
 
+def book(spark, ledger, days, batch, enter=True):
+    """Somebody else adds daily rows to the ledger."""
+    rows = spark.createDataFrame([(u, d, 1, 1, None) for u, d in days], LEDGER_DDL["daily_checkin"])
+    ledger._write("daily_checkin", rows, batch)
+    for table in ("checkin_events", "user_points_history"):
+        ledger._write(table, spark.createDataFrame([], LEDGER_DDL[table]), batch)
+    ledger._write("user_points", spark.createDataFrame([(1, 5, None)], USER_POINTS_DDL), batch)
+    if enter:
+        ledger._enter(batch)
+
+
 class Clock:
     def __init__(self, *times):
         self.times = list(times)
@@ -87,6 +98,26 @@ def test_state_is_forgotten_after_its_time(spark, tmp_path):
     assert run_dedup(spark, tmp_path, ttl_ms=1000) == [(1, "a", 1), (1, "a", 2)]
 
 
+def test_stream_copies_at_days_0_5_and_10(spark, tmp_path):
+    """Accepted, duplicate without renewal, accepted again; by a given clock."""
+    schema = f"{KEYS}, now_ms bigint"
+    for n, days in enumerate((0, 5, 10)):
+        rows = [(1, "a", 10 * n + 1, days * 86_400_000), (1, "a", 10 * n, days * 86_400_000), (n, "b", n, days * 86_400_000)]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        query = (
+            dedup_stream(stream, 7 * 86_400_000, clock_col="now_ms", buckets=2)
+            .writeStream.format("parquet")
+            .option("path", f"{tmp_path}/out")
+            .option("checkpointLocation", f"{tmp_path}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        assert query.awaitTermination(120)
+    got = sorted((r.event_id, r.user_id, r.arrival_seq) for r in spark.read.schema(KEYS).parquet(f"{tmp_path}/out").collect())
+    assert got == [("a", 1, 0), ("a", 1, 20), ("b", 0, 0), ("b", 1, 1), ("b", 2, 2)]
+
+
 def test_rows_that_do_not_mark_are_not_remembered(spark, tmp_path):
     schema = KEYS + ", marks boolean"
     rows = [(1, "a", 1, False), (1, "a", 2, True), (1, "a", 3, True)]
@@ -157,11 +188,7 @@ def test_repeated_batch_sends_the_same(spark, tmp_path):
     with pytest.raises(RuntimeError):
         job.run(batch, "q-0")
     # Meanwhile somebody books what was sent.
-    ledger._write(
-        "daily_checkin",
-        spark.createDataFrame([(1, DAY, 1, 1, None)], LEDGER_DDL["daily_checkin"]),
-        "other",
-    )
+    book(spark, ledger, [(1, DAY)], "other")
     job.run(batch, "q-0")
     job.run(batch, "q-0")
     assert len(calls) == 2 and calls[0] == calls[1] and len(calls[0]) == 2
@@ -171,11 +198,7 @@ def test_ledger_is_read_anew_for_every_batch(spark, tmp_path):
     ledger = new_ledger(spark, tmp_path)
     job = live_job(spark, tmp_path, ledger, Clock(day(0)))
     job.run(rows_of(spark, [Checkin("a", 1, DAY, 1)]), "q-0")
-    ledger._write(
-        "daily_checkin",
-        spark.createDataFrame([(1, DAY, 1, 1, None)], LEDGER_DDL["daily_checkin"]),
-        "other",
-    )
+    book(spark, ledger, [(1, DAY)], "other")
     job.run(rows_of(spark, [Checkin("b", 1, DAY, 2)]), "q-1")
     assert sent(spark, tmp_path) == [("0", "a", 1), ("1", "b", 2)]
 
@@ -293,6 +316,77 @@ def test_repeated_ledger_batch_changes_nothing(spark, tmp_path):
     assert contents(ledger) == expected_ledger(CFG)
 
 
+def test_a_half_written_batch_is_not_seen(spark, tmp_path):
+    ledger = new_ledger(spark, tmp_path)
+    book(spark, ledger, [(1, DAY)], "q-0", enter=False)
+    assert contents(ledger) == ([], [], {}) and not ledger.has("q-0")
+    job = LedgerJob(spark, CFG, ledger, f"{tmp_path}/state", clock=Clock(day(0)))
+    job.run(rows_of(spark, batch_of(0)), "q-0")
+    job.run(rows_of(spark, batch_of(1)), "q-1")
+    assert contents(ledger) == expected_ledger(CFG)
+
+
+def test_a_pinned_ledger_is_of_one_moment(spark, tmp_path):
+    ledger = new_ledger(spark, tmp_path)
+    book(spark, ledger, [(1, DAY)], "q-0")
+    view = ledger.pinned()
+    book(spark, ledger, [(2, DAY)], "q-1")
+    assert contents(view) == ([(1, DAY)], [], {1: 5})
+    assert contents(ledger) == ([(1, DAY), (2, DAY)], [], {1: 10})
+
+
+def test_batches_before_during_and_after_merging(spark, tmp_path):
+    plain, merged = (new_ledger(spark, f"{tmp_path}/{name}", users=range(40)) for name in ("plain", "merged"))
+    jobs = [
+        LedgerJob(spark, CFG, ledger, f"{tmp_path}/{n}/state", clock=Clock(day(0)), merge_every=every)
+        for n, (ledger, every) in enumerate(((plain, 1000), (merged, 2)))
+    ]
+    for n in range(6):
+        batch = [Checkin(f"{n % 4}-{k}", k % 7, dt.date(2024, 1 + n % 3, 1 + k % 5), n * 100 + k) for k in range(12)]
+        for job in jobs:
+            job.run(rows_of(spark, batch), f"q-{n}")
+            job.run(rows_of(spark, batch), f"q-{n}")
+        assert contents(merged) == contents(plain)
+    assert len(plain.batches()) == 7 and len(merged.batches()) <= 4
+    folders = {p.name for p in (tmp_path / "merged/ledger/checkin_events").iterdir() if p.is_dir()}
+    assert len(folders) <= 7
+    assert all(merged.has(f"q-{n}") for n in range(6)) and not merged.has("q-6") and not merged.has("r-0")
+    # A reader that began before a merging goes on reading what it found.
+    view, before = merged.pinned(), contents(merged)
+    merged.merge_batches(2)
+    assert contents(view) == before == contents(merged)
+
+
+def test_notes_of_batches_long_done_are_removed(spark, tmp_path):
+    job = live_job(spark, tmp_path, new_ledger(spark, tmp_path), Clock(day(0)))
+    for n in (0, 1, 8):
+        job.run(rows_of(spark, []), f"q-{n}")
+    assert job.journal.time_of("q-0", "finished") is None
+    assert job.journal.time_of("q-1", "finished") == day(0)
+
+
+def test_a_sink_gets_a_users_records_by_arrival(spark, tmp_path):
+    seen = []
+
+    def sink(transactions, batch):
+        parts = transactions.select("user_id", "event_id").rdd.glom().collect()
+        seen.append([[tuple(r) for r in p] for p in parts if p])
+
+    cfg = CFG.with_(max_per_month=100)
+    job = live_job(spark, tmp_path, new_ledger(spark, tmp_path), Clock(day(0)), sink, cfg)
+    checkins = [Checkin(f"{k:03}", k % 5, DAY, 1000 - k) for k in range(200)]
+    job.run(rows_of(spark, checkins).repartition(7), "q-0")
+    assert len(seen) == 1
+    by_user_id = {}
+    for part in seen[0]:
+        for user, event in part:
+            by_user_id.setdefault(user, []).append((id(part), event))
+    for rows in by_user_id.values():
+        assert len({p for p, _ in rows}) == 1
+        assert [e for _, e in rows] == sorted((e for _, e in rows), reverse=True)
+    assert sum(map(len, by_user_id.values())) == 200
+
+
 def test_unknown_users_are_put_aside(spark, tmp_path):
     ledger = new_ledger(spark, tmp_path, users=[1])
     job = LedgerJob(spark, CFG, ledger, f"{tmp_path}/state", "quarantine", clock=Clock(day(0)))
