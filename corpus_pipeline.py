@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stampcard.llm.common import table, written
@@ -36,18 +36,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates, and one row of each
-    document; documents without words or without an id stay as they are."""
-    verdicts = written(near_duplicates(docs), "pipeline-verdicts")
-    kept = verdicts.filter("kept AND doc_id IS NOT NULL AND n_shingles > 0").select("doc_id").distinct()
-    word = F.regexp_instr("text", F.lit(r"[^\x20\x09-\x0D]")) > 0
-    bare = F.col("text").isNull() | ~word | F.col("doc_id").isNull()
-    chosen = docs.filter(~bare).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return chosen.select(docs.columns).unionByName(docs.filter(bare))
+    """Keep one document of each group of near duplicates: that of the smallest
+    id, and of equal ids that of the smallest hash of its text. Every row is a
+    document of its own, with or without an id; those without words stay."""
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
+    found = near_duplicates(rows, id_column="__row").filter("n_shingles > 0")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text").alias("hash"), "__row")
+    named = rows.select("__row", order.alias("order")).join(
+        found.select(F.col("doc_id").alias("__row"), "component_id"), "__row"
+    )
+    chosen = named.groupBy("component_id").agg(F.min("order").alias("order")).select("order.__row")
+    kept = rows.join(written(chosen, "pipeline-chosen"), "__row", "left_semi")
+    return kept.unionByName(rows.filter(_wordless())).select(docs.columns)
+
+
+def _wordless() -> Column:
+    return F.coalesce(F.regexp_instr("text", F.lit(r"[^\x20\x09-\x0D]")) == 0, F.lit(True))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or leave out documents, so that the sources meet their targets."""
+    """Repeat or leave out documents, so that the sources meet their targets.
+    Documents without words count for no target; they stay, once."""
     taken = mix_sources(docs).filter("taken > 0")
     times = taken.select("doc_id", F.col("source").alias("__source"), "size", "taken").distinct()
     times = written(times.withColumn("__times", (F.col("taken") / F.col("size")).cast("int")), "pipeline-times")
@@ -56,8 +65,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         once.withColumnRenamed("doc_id", "__id"),
         F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")),
     )
-    filled = joined.filter(F.regexp_instr("text", F.lit(r"[^\x20\x09-\x0D]")) > 0)
-    return filled.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(docs.columns)
+    filled = joined.filter(~_wordless()).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    return filled.select(docs.columns).unionByName(docs.filter(_wordless()))
 
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

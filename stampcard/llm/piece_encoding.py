@@ -12,7 +12,9 @@ piece) are put in order of position and relaxed from left to right: the encoding
 of a prefix ends with the one piece that fits the last piece of the prefix
 before it. Two pieces fit if merging would never join anything over their
 border, which is found by undoing their merges in turn. The last pieces give the
-encoding backwards. Characters that no piece has become byte pieces.
+encoding backwards. Characters that no piece has become byte pieces. A unit of
+any length takes time in proportion to it: a long one is indexed in stretches,
+each reaching over the next by the longest piece.
 
 Results equal those of the reference implementation of the format for BPE models
 with byte fallback, a leading word mark and no other normalisation; models of
@@ -37,7 +39,9 @@ from stampcard.llm.common import extended
 from stampcard.llm.wordhash import Stretches, mix
 
 #: Texts are encoded in batches of about so many characters.
-BATCH_CHARS = 3_000_000
+BATCH_CHARS = 1_000_000
+#: Units longer than this are relaxed one by one, in stretches of a line.
+LONG, STRETCH = 4096, 250_000
 MARK = 0x2581
 #: Places of the cache of fitting pairs; a fixed size.
 CACHE = 1 << 21
@@ -174,6 +178,7 @@ class Encoder:
         self.low, self.high = self._pack(packed[matched]), self._pack(end[matched])
         self.cache_key = np.full(CACHE, -1, dtype=np.int64)
         self.cache_fits = np.zeros(CACHE, dtype=bool)
+        self.known_fits: dict[int, bool] = {}
 
     def _letters(self, points: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.model.alphabet, points), len(self.model.alphabet) - 1)
@@ -200,14 +205,16 @@ class Encoder:
         keys = np.zeros((n, self.words), dtype=np.int64)
         keys[:, 0] = first
         for w in range(1, self.words):
-            keys[: n - 4 * w, w] = np.where(self._over(ended, 4 * w)[: n - 4 * w], 0, first[4 * w :])
+            left = max(0, n - 4 * w)
+            keys[:left, w] = np.where(self._over(ended, 4 * w)[:left], 0, first[4 * w :])
         # Prefix doubling: in order by one word, then by two, then by four.
         order = np.argsort(first, kind="stable")
         ordered, rank, step = first[order], np.zeros(n, dtype=np.int64), 1
         while step < self.words:
             rank[order] = np.cumsum(np.concatenate([[1], ordered[1:] != ordered[:-1]]))
             both = rank * (n + 1)
-            both[: n - 4 * step] += np.where(self._over(ended, 4 * step)[: n - 4 * step], 0, rank[4 * step :])
+            left = max(0, n - 4 * step)
+            both[:left] += np.where(self._over(ended, 4 * step)[:left], 0, rank[4 * step :])
             order = np.argsort(both, kind="stable")
             ordered = both[order]
             step *= 2
@@ -219,7 +226,7 @@ class Encoder:
         for four."""
         over = ended.copy()
         for k in range(4, letters, 4):
-            over[: len(over) - k] |= ended[k:]
+            over[: max(0, len(over) - k)] |= ended[k:]
         return over
 
     def _search(self, keys: np.ndarray, wanted: np.ndarray, after: bool) -> np.ndarray:
@@ -285,59 +292,114 @@ class Encoder:
             open_, a, b, limit = open_[go], a[go], b[go], limit[go]
         return result
 
-    def _encode_units(self, line: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of the units of a line, and how many each has. Units are in
-        order of falling length."""
-        m = self.model
+    def _edges(self, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where pieces occur in a line: (token, start), one for each occurrence."""
         order, keys = self._suffixes(line)
         low, high = self._search(keys, self.low, False), self._search(keys, self.high, True)
+        del keys
         count = np.maximum(high - low, 0)
-        piece = np.repeat(self.pieces, count)
-        skip = np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-        place = order[skip + np.arange(len(skip))]
-        # Edges in order of position: one row per length, one column per start.
-        edges = np.full((self.depth + 1, len(line) + 1), -1, dtype=np.int32)
-        edges[m.lengths[piece], place] = piece
-        edges[1, np.flatnonzero(line == self.other)] = m.unknown
-        lengths = np.flatnonzero((edges >= 0).any(axis=1))
-        last = np.full(len(line) + 1, -1, dtype=np.int64)
-        size_of = np.append(m.lengths, 1)
-        active = len(start)
-        for end in range(1, int(length[0]) + 1 if len(length) else 0):
-            while active and length[active - 1] < end:
-                active -= 1
-            stop = start[:active] + end
-            found = np.full(active, -1, dtype=np.int64)
-            for k in lengths[lengths <= end]:
-                begin = stop - k
-                token = edges[k, begin]
-                units = np.flatnonzero(token >= 0)
-                if not len(units):
-                    continue
-                if k == end:
-                    found[units] = token[units]
-                else:
-                    before = last[begin[units]]
-                    ok = before >= 0
-                    units, before = units[ok], before[ok]
-                    fits = self._fit(before, token[units].astype(np.int64))
-                    found[units[fits]] = token[units[fits]]
-            last[stop] = found
+        piece = np.repeat(self.pieces.astype(np.int32), count)
+        skip = np.repeat((low - np.concatenate([[0], np.cumsum(count)[:-1]])).astype(np.int32), count)
+        skip += np.arange(len(skip), dtype=np.int32)
+        place = order.astype(np.int32)[skip]
+        other = np.flatnonzero(line == self.other).astype(np.int32)
+        return np.concatenate([piece, np.full(len(other), self.model.unknown, dtype=np.int32)]), np.concatenate([place, other])
+
+    def _encode_units(self, line: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of the units of a line, and where each begins. Units are in
+        order of falling length."""
+        token, place = self._edges(line)
+        # Edges in order of their place within the unit: all units go on at once.
+        # Units are short here, so offsets have 16 bits, which are sorted fast.
+        offset = (np.arange(len(line)) - np.repeat(start, length + 1)).astype(np.int16)[place]
+        order = np.argsort(offset, kind="stable")
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(offset, minlength=int(length[0])))])
+        token, place = token[order], place[order]
+        del offset, order
+        size_of = np.append(self.model.lengths, 1).astype(np.int32)
+        last = np.full(len(line) + 1, -1, dtype=np.int32)
+        last[start] = -2
+        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            here, at = token[low:high], place[low:high]
+            before = last[at]
+            if low:
+                open_ = np.flatnonzero(before >= 0)
+                here, at, before = here[open_], at[open_], before[open_]
+                fits = self._fit(before.astype(np.int64), here.astype(np.int64))
+                here, at = here[fits], at[fits]
+            last[at + size_of[here]] = here
         # Backwards from each unit's end.
         units, at = np.arange(len(start)), start + length
-        taken: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        taken: list[tuple[np.ndarray, np.ndarray]] = []
         while len(units):
             token = last[at]
             at = at - size_of[token]
-            taken.append((units, token, at))
+            taken.append((token, at))
             go = at > start[units]
             units, at = units[go], at[go]
-        unit = np.concatenate([x[0] for x in taken])
-        token = np.concatenate([x[1] for x in taken])
-        begin = np.concatenate([x[2] for x in taken])
+        token = np.concatenate([x[0] for x in taken])
+        begin = np.concatenate([x[1] for x in taken])
         by_place = np.argsort(begin, kind="stable")
         return token[by_place], begin[by_place]
 
+    def _encode_long(self, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for one long unit, its edges found and relaxed stretch by
+        stretch."""
+        size_of = [*self.model.lengths.tolist(), 1]
+        last = [-1] * (len(line) + 1)
+        last[0] = -2
+        for low in range(0, len(line), STRETCH):
+            token, place = self._edges(line[low : low + STRETCH + self.depth])
+            order = np.argsort(place, kind="stable")
+            cuts = np.searchsorted(place[order], np.arange(min(STRETCH, len(line) - low) + 1)).tolist()
+            tokens = token[order[: cuts[-1]]].tolist()
+            for at, (first, stop) in enumerate(zip(cuts[:-1], cuts[1:]), low):
+                before = last[at]
+                if before != -1:
+                    for here in tokens[first:stop]:
+                        if before == -2 or self._fits(before, here):
+                            last[at + size_of[here]] = here
+        taken, begin, at = [], [], len(line)
+        while at:
+            here = last[at]
+            at -= size_of[here]
+            taken.append(here)
+            begin.append(at)
+        return np.array(taken[::-1], dtype=np.int32), np.array(begin[::-1], dtype=np.int64)
+
+    def _fits(self, first: int, second: int) -> bool:
+        """Whether two tokens stay side by side, see ``_undo``."""
+        n = len(self.model.ids)
+        if first >= n or second >= n:
+            return True
+        key = first * n + second
+        found = self.known_fits.get(key)
+        if found is None:
+            if len(self.known_fits) >= CACHE:
+                self.known_fits.clear()
+            found = self.known_fits[key] = self._stay(first, second)
+        return found
+
+    def _stay(self, a: int, b: int) -> bool:
+        left, right, pairs = self.halves
+        n = len(left)
+        limit = n
+        while True:
+            if pairs.get(a * n + b, n) < limit:
+                return False
+            whole_a, whole_b = left[a] == a, left[b] == b
+            if whole_a and whole_b:
+                return True
+            if not whole_a and (a > b or whole_b):
+                limit, a = a, right[a]
+            else:
+                limit, b = b + 1, left[b]
+
+    @cached_property
+    def halves(self) -> tuple[list[int], list[int], dict[int, int]]:
+        m = self.model
+        return m.left.tolist(), m.right.tolist(), dict(zip(m.pair_keys.tolist(), m.pair_tokens.tolist()))
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the number of ids of each."""
         m = self.model
@@ -362,22 +424,27 @@ class Encoder:
         where = np.empty(len(by_length), dtype=np.int64)
         where[by_length] = np.arange(len(by_length))
         back = where[back]
-        # The distinct units in one line, each followed by a 0.
         size = length[first]
-        line_start = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
-        source = np.repeat(start[first] - line_start, size + 1) + np.arange(int((size + 1).sum()))
-        ends = line_start + size
-        source[ends] = 0
-        letters = points[source]
-        line = self._letters(letters)
-        line[ends] = 0
-        token, place = self._encode_units(line, line_start, size)
-        unit = np.searchsorted(line_start, place, "right") - 1
-        ids = np.append(m.ids, np.int32(-1))[token]
+        long = int(np.searchsorted(-size, -LONG, "left"))
+        tokens, units, found = [], [], []
+        for u in range(long):
+            letters = points[start[first[u]] : start[first[u]] + size[u]]
+            token, place = self._encode_long(self._letters(letters))
+            tokens.append(token)
+            units.append(np.full(len(token), u))
+            found.append(letters[place])
+        if long < len(first):
+            token, unit, letters = self._short_units(points, start[first[long:]], size[long:])
+            tokens.append(token)
+            units.append(unit + long)
+            found.append(letters)
+        unit = np.concatenate(units)
+        ids = np.append(m.ids, np.int32(-1))[np.concatenate(tokens)]
+        letters = np.concatenate(found)
         # Unknown characters become the pieces of their bytes.
         bytes_of = np.ones(len(ids), dtype=np.int64)
         unknown = np.flatnonzero(ids < 0)
-        spelled = [chr(c).encode("utf-8", "replace") for c in letters[place[unknown]].tolist()]
+        spelled = [chr(c).encode("utf-8", "replace") for c in letters[unknown].tolist()]
         bytes_of[unknown] = [len(b) for b in spelled]
         if len(unknown):
             at = np.concatenate([[0], np.cumsum(bytes_of)[:-1]])
@@ -396,6 +463,21 @@ class Encoder:
         numbers[[i for i, t in enumerate(texts) if t]] = each
         return out, numbers
 
+    def _short_units(self, points: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of units in order of falling length: tokens, their units, and the
+        characters they begin with."""
+        # All in one line, each followed by a 0.
+        line_start = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
+        source = np.repeat(start - line_start, size + 1) + np.arange(int((size + 1).sum()))
+        ends = line_start + size
+        source[ends] = 0
+        letters = points[source]
+        del source
+        line = self._letters(letters)
+        line[ends] = 0
+        token, place = self._encode_units(line, line_start, size)
+        return token, np.searchsorted(line_start, place, "right") - 1, letters[place]
+
     @staticmethod
     def _unit_keys(points: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         units = Stretches(mix(points.astype(np.uint64) + np.uint64(1)))

@@ -1,6 +1,8 @@
 """Piece encoding against the format's own library; the pipeline's stages."""
 
 import random
+import time
+import tracemalloc
 
 import pytest
 import sentencepiece
@@ -41,6 +43,29 @@ def test_odd_texts(spark, library):
     assert encode(df.limit(0), model).collect() == []
 
 
+@pytest.mark.parametrize("parts", [["th", "in", "er", "日", "e", "0", "👍"], ["a"], ["ab", "\n", "é"]])
+def test_a_very_long_text_without_blanks(library, parts):
+    """Two million characters within a minute, equal to the library."""
+    rng = random.Random(len(parts))
+    text = "".join(rng.choices(parts, k=2_000_000))[:2_000_000]
+    begin = time.perf_counter()
+    ids, numbers = read_model(PIECE_MODEL).encoder.encode([text, "short one", text[:70_000]])
+    assert time.perf_counter() - begin < 60
+    assert ids[: numbers[0]].tolist() == library.encode(text)
+    assert ids[numbers[0] :].tolist() == library.encode("short one") + library.encode(text[:70_000])
+
+
+def test_memory_of_a_batch_is_bounded(library):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randrange(2, 12))) for _ in range(90_000)]
+    encoder = read_model(PIECE_MODEL).encoder
+    encoder.encode(["warm up"])
+    tracemalloc.start()
+    encoder.encode([" ".join(words[i : i + 500]) for i in range(0, len(words), 500)])
+    assert tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
+
+
 def test_stages_in_order_and_their_decisions(spark, sf_dir):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "mixing", "piece_encoding"]
     docs = table(spark, sf_dir, "documents")
@@ -51,13 +76,30 @@ def test_stages_in_order_and_their_decisions(spark, sf_dir):
     assert {r.doc_id for r in clean.collect()} == {i for i, p in scores.items() if not p}
     kept = stage["near_dedup"](spark, docs, sf_dir)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (n, c) in brute(rows).items() if i == c)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (n, c) in brute(rows).items() if i == c or not n)
     mixed = stage["mixing"](spark, docs, sf_dir)
     taken = {r.doc_id: r.taken // r.size for r in QUERIES["op9_mixing"](spark, sf_dir).collect() if r.size}
     got = {}
     for r in mixed.collect():
         got[r.doc_id] = got.get(r.doc_id, 0) + 1
-    assert got == {i: n for i, n in taken.items() if n}
+    bare = {i for i, t in rows if not (t or "").strip(" \t\n\x0b\x0c\r")}
+    assert got == {i: n for i, n in taken.items() if n} | dict.fromkeys(bare, 1)
+
+
+def test_rows_of_one_id_with_different_texts_are_kept(spark):
+    text = "a b c d e f g h"
+    rows = [(4, text, "s"), (4, "quite another text of this id here", "s"), (9, text.upper(), "s"), (None, text, "s"), (None, "no id and a text of its own", None), (5, None, "s"), (5, " \n", "s"), (4, text, "s")]
+    docs = spark.createDataFrame([(i, t, "en", s, 1) for i, t, s in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    stage = dict(corpus_pipeline.STAGES)
+    kept = stage["near_dedup"](spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(4, text), (4, rows[1][1]), (None, rows[4][1]), (5, None), (5, " \n")], key=str
+    )
+    mixed = stage["mixing"](spark, docs, "").collect()
+    assert [r.text for r in mixed if r.doc_id == 5] in ([None, " \n"], [" \n", None])
+    sizes = {(i, t): len((t or "").split()) for i, t, _ in rows}
+    assert {(r.doc_id, r.text) for r in mixed} <= sizes.keys()
 
 
 def test_pipeline_on_odd_rows(spark, tmp_path):
@@ -72,5 +114,6 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
         spark.createDataFrame(rows_of, schema).write.parquet(f"{folder}/documents.parquet")
         spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
         out = corpus_pipeline.run(spark, folder).collect()
-        assert {r.doc_id for r in out} <= {None, 4, 6}
+        assert {r.doc_id for r in out} <= {1, 2, None, 4, 6}
+        assert not rows_of or {1, 2} <= {r.doc_id for r in out}
         assert bool(out) == bool(rows_of)
