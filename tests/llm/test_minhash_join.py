@@ -92,6 +92,18 @@ def test_odd_rows(spark):
     )
 
 
+def test_an_id_with_several_texts_links_their_classes(spark):
+    a, b, c, d = ("a b c d e f", "g h i j k l", "m n o p q r", "s t u v w x")
+    rows = [(3, a), (5, a), (5, b), (7, b), (8, c), (9, d), (9, d), (None, d), (None, "y z y z y z")]
+    df = spark.createDataFrame([(i, t, "l", 1, 2) for i, t in rows], SCHEMA)
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(df).collect()), key=str)
+    assert got == sorted(
+        [(3, 3, True), (5, 3, False), (5, 3, False), (7, 3, False), (8, 8, True), (9, 9, True), (9, 9, True),
+         (None, 9, False), (None, None, True)],
+        key=str,
+    )
+
+
 def test_no_rows(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
 
