@@ -14,12 +14,19 @@ in all but ``miss`` of cases; nearer vectors reach it more often.
 
 All rows are indexed. Blocks and query groups have a bounded size, and every
 group of queries meets every block, so no task holds a part that grows with the
-data; each block returns its k nearest of a query, and these are merged.
-
-Defined results: vectors that are null, of length zero, or with null or
-non-finite components take no part, nor do rows without an id or vectors of
-another length than the commonest; ties go to the smaller id; a query never
-finds its own id; rows that repeat an id are candidates of their own.
+data; groups are as large as a task may hold, but enough to occupy the cluster,
+as a block is sent once for each. Each block returns its k nearest of a query,
+and these are merged.
+
+Vectors are scaled by a power of two before they are squared, so neither tiny
+nor huge components are lost.
+
+Defined results: vectors that are null, zero, or with null or non-finite
+components take no part, nor do rows without an id; vectors of different numbers
+of components are never compared; ties go to the smaller id. Every row is a
+candidate and, among the queries, a query of its own, whether or not it repeats
+an id or a vector; a query does not find its own row, but may find others of
+its id.
 """
 
 from __future__ import annotations
@@ -45,8 +52,10 @@ class CollisionPlan:
     miss: float = 0.03
     first_radius: float = 0.12
     growth: float = 1.2
-    block_rows: int = 16_384
-    query_rows: int = 8_192
+    block_rows: int = 65_536
+    #: Most queries of a group, and the fewest that make one more task worth it.
+    query_rows: int = 65_536
+    least_queries: int = 64
     #: Queries of a group whose window bounds are held at a time.
     batch: int = 256
     seed: int = 17
@@ -65,14 +74,25 @@ class CollisionPlan:
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """``id, v`` of the vectors that take part, as doubles."""
+    """``id, v`` of the rows that take part, as doubles."""
     v = F.col(vector_column).cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = vectors.select(F.col(id_column).cast("bigint").alias("id"), v.alias("v")).filter(
+    return vectors.select(F.col(id_column).cast("bigint").alias("id"), v.alias("v")).filter(
         F.col("id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0)
     )
-    size = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").head(1)
-    return rows.filter(F.size("v") == (size[0].n if size else 0))
+
+
+def _counted(rows: DataFrame, name: str) -> DataFrame:
+    """Each row once, with the number of equal ones and of components."""
+    counted = rows.groupBy("id", "v").agg(F.count(F.lit(1)).cast("int").alias("times"))
+    return written(counted.withColumn("n", F.size("v")), name)
+
+
+def scaled(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors with a largest component between 1/2 and 1, and the powers of two
+    they were divided by."""
+    _, power = np.frexp(np.abs(vectors).max(axis=1))
+    return np.ldexp(vectors, -power[:, None]), power
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -86,6 +106,7 @@ class _Block:
     """The sorted projections of one block's vectors."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, plan: CollisionPlan) -> None:
+        vectors, self.power = scaled(vectors)
         self.ids, self.vectors, self.plan = ids, vectors, plan
         self.lengths = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
         self.directions = np.random.default_rng(plan.seed).standard_normal((vectors.shape[1], plan.projections))
@@ -113,12 +134,18 @@ class _Block:
             high[:, :, i] = np.searchsorted(line, c[:, None] + half, "right")
         return start, low, high
 
-    def nearest(self, query_id: int, query: np.ndarray, start: np.ndarray, low: np.ndarray, high: np.ndarray):
-        """Ids and cosines of the nearest found. Bounds are of this query."""
+    def nearest(
+        self, query_id: int, query: np.ndarray, power: int, start: np.ndarray, low: np.ndarray, high: np.ndarray
+    ):
+        """Ids and cosines of the nearest found. Bounds are of this query, which
+        is scaled."""
         plan, n = self.plan, len(self.ids)
         length = math.sqrt(float(query @ query))
         counts = np.zeros(n, dtype=np.int64)
-        verified = self.ids == query_id
+        verified = np.zeros(n, dtype=bool)
+        same = np.flatnonzero((self.ids == query_id) & (self.power == power))
+        # Of equal rows one is the query's own, whichever.
+        verified[same[(self.vectors[same] == query).all(axis=1)][:1]] = True
         cosine, found = np.zeros(0), np.zeros(0, dtype=np.int64)
         threshold = plan.threshold
         l0, h0 = start.tolist(), start.tolist()
@@ -126,9 +153,16 @@ class _Block:
             ends = [o[x:y] for o, x, y in zip(self.order, l1, l0) if x < y]
             ends += [o[x:y] for o, x, y in zip(self.order, h0, h1) if x < y]
             l0, h0 = l1, h1
-            if ends:
-                counts += np.bincount(np.concatenate(ends), minlength=n)
-            fresh = np.flatnonzero((counts >= threshold) & ~verified)
+            if not ends:
+                continue
+            touched = np.concatenate(ends)
+            if len(touched) < n:
+                np.add.at(counts, touched, 1)
+                touched = touched[counts[touched] >= threshold]
+                fresh = np.unique(touched[~verified[touched]])
+            else:
+                counts += np.bincount(touched, minlength=n)
+                fresh = np.flatnonzero((counts >= threshold) & ~verified)
             if len(fresh):
                 verified[fresh] = True
                 dots = self.vectors[fresh] @ query
@@ -151,48 +185,61 @@ def nearest_neighbours(
     vector_column: str = "embedding",
 ) -> DataFrame:
     """``query_id, rank, vec_id, score`` (cosine) of each query's k nearest
-    vectors found. ``queries`` has the columns of ``vectors``."""
-    rows = written(usable(vectors, id_column, vector_column), "ann-vectors")
-    asked = written(usable(queries, id_column, vector_column).dropDuplicates(["id"]), "ann-queries")
-    n, n_queries = rows.count(), asked.count()
-    blocks = max(1, math.ceil(n / plan.block_rows))
-    parts = max(1, math.ceil(n_queries / plan.query_rows))
+    vectors found. ``queries`` are rows of ``vectors``, or others with its
+    columns."""
+    rows = _counted(usable(vectors, id_column, vector_column), "ann-vectors")
+    asked = _counted(usable(queries, id_column, vector_column), "ann-queries")
+    # Blocks by number of components; a number that no query has has none.
+    counts = rows.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).join(
+        asked.groupBy("n").agg(F.count(F.lit(1)).alias("asked")), "n"
+    )
+    blocks = F.ceil(F.col("rows") / plan.block_rows).cast("int")
+    fill = F.ceil(F.lit(vectors.sparkSession.sparkContext.defaultParallelism) / blocks)
+    parts = F.greatest(
+        F.ceil(F.col("asked") / plan.query_rows), F.least(fill, F.ceil(F.col("asked") / plan.least_queries))
+    ).cast("int")
+    sizes = written(counts.select("n", blocks.alias("blocks"), parts.alias("parts")), "ann-sizes")
     row = F.xxhash64("id", "v")
-    index = rows.select(
-        F.pmod(row, F.lit(blocks)).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
-        "id",
-        "v",
+    index = rows.join(sizes, "n").select(
+        "n",
+        F.pmod(row, F.col("blocks")).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        *("id", "v", "times"),
     )
-    search = asked.select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-        F.pmod(row, F.lit(parts)).cast("int").alias("part"),
-        "id",
-        "v",
+    search = asked.join(sizes, "n").select(
+        "n",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.pmod(row, F.col("parts")).cast("int").alias("part"),
+        *("id", "v", "times"),
+        row.alias("asked"),
     )
 
     def searched(left: pa.Table, right: pa.Table) -> pa.Table:
-        out_q, out_v, out_s = [], [], []
+        out: list[tuple[np.ndarray, ...]] = []
         if left.num_rows and right.num_rows:
-            block = _Block(left["id"].to_numpy(), _matrix(left["v"]), plan)
-            asked_ids, asked_vectors = right["id"].to_numpy(), _matrix(right["v"])
+            # Of equal rows no more can be among the nearest, beside one's own.
+            times = np.minimum(left["times"].to_numpy(), plan.k + 1)
+            block = _Block(np.repeat(left["id"].to_numpy(), times), np.repeat(_matrix(left["v"]), times, axis=0), plan)
+            asked_ids, (asked_vectors, powers) = right["id"].to_numpy(), scaled(_matrix(right["v"]))
+            facts = [right[c].to_numpy() for c in ("asked", "times")]
             for at in range(0, len(asked_ids), plan.batch):
                 part = slice(at, at + plan.batch)
-                for query_id, query, *bounds in zip(
-                    asked_ids[part], asked_vectors[part], *block.windows(asked_vectors[part])
-                ):
-                    ids, cosine = block.nearest(query_id, query, *bounds)
-                    out_q.append(np.full(len(ids), query_id))
-                    out_v.append(ids)
-                    out_s.append(cosine)
-        join = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, dtype=kind)
-        return pa.table({"query_id": join(out_q, "i8"), "vec_id": join(out_v, "i8"), "score": join(out_s, "f8")})
+                bounds = block.windows(asked_vectors[part])
+                for i, *window in zip(range(at, len(asked_ids)), *bounds):
+                    ids, cosine = block.nearest(asked_ids[i], asked_vectors[i], powers[i], *window)
+                    own = [np.full(len(ids), x[i]) for x in (asked_ids, *facts)]
+                    out.append((*own, ids, cosine))
+        kinds = {"query_id": "i8", "asked": "i8", "times": "i4", "vec_id": "i8", "score": "f8"}
+        columns = [np.concatenate([x[j] for x in out]) if out else np.zeros(0) for j in range(len(kinds))]
+        return pa.table({name: c.astype(kind) for (name, kind), c in zip(kinds.items(), columns)})
 
     found = (
-        index.groupBy("block", "part")
-        .cogroup(search.groupBy("block", "part"))
-        .applyInArrow(searched, "query_id bigint, vec_id bigint, score double")
+        index.groupBy("n", "block", "part")
+        .cogroup(search.groupBy("n", "block", "part"))
+        .applyInArrow(searched, "query_id bigint, asked bigint, times int, vec_id bigint, score double")
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "asked").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= plan.k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    # Equal query rows have equal results.
+    each = ranked.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return each.select("query_id", "rank", "vec_id", "score")

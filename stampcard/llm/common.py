@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -62,3 +64,11 @@ def salted_lookup(
     spread = rows.withColumn("__salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     copies = facts.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(copies, [*on, "__salt"], "left").drop("__salt")
+
+
+def query_groups(spark: SparkSession, queries: int, blocks: int, most: int, least: int) -> int:
+    """Into how many groups the queries of a search are dealt. A block is sent
+    to every group, so groups are as large as a task may hold (``most``), but
+    there are enough of them to occupy the cluster, of ``least`` each."""
+    fill = math.ceil(spark.sparkContext.defaultParallelism / max(1, blocks))
+    return max(1, math.ceil(queries / most), min(fill, math.ceil(queries / least)))

@@ -9,13 +9,15 @@ code within m * s + j has been found, because one of its segments must lie
 within what was searched. A query ends when its k-th verified distance is that
 small, so results are exact; ties go to the smaller id.
 
-Of rows with equal codes only the k + 1 smallest ids can be in a result, so
+Of equal codes only the k + 1 smallest different ids can be in a result, so
 only these are searched; that bounds groups of equal codes and changes nothing.
 Blocks and query groups have a bounded size, and every group of queries meets
-every block.
+every block: a block is indexed and sent once for each of the few large groups.
 
-Defined results: rows without an id or code take no part; a query never finds
-its own id; with fewer than k other rows, all are returned.
+Defined results: rows without an id or code take no part, rows that repeat an
+id with the same code count once; a query never finds its own id; an id that is
+asked with several codes has a ranking for each; with fewer than k other rows,
+all are returned.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stampcard.llm.common import written
+from stampcard.llm.common import query_groups, written
 
 BITS = 64
 
@@ -37,8 +39,10 @@ BITS = 64
 @dataclass(frozen=True)
 class HammingPlan:
     k: int = 10
-    block_rows: int = 262_144
-    query_rows: int = 512
+    block_rows: int = 1_048_576
+    #: Most queries of a group, and the fewest that make one more task worth it.
+    query_rows: int = 262_144
+    least_queries: int = 256
 
 
 def sign_code(vector: Column) -> Column:
@@ -110,12 +114,12 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, plan: HammingPlan = Hamm
     usable = "id IS NOT NULL AND code IS NOT NULL"
     place = F.row_number().over(Window.partitionBy("code").orderBy("id"))
     rows = written(
-        codes.filter(usable).select("id", "code").withColumn("place", place).filter(F.col("place") <= plan.k + 1).drop("place"),
+        codes.filter(usable).select("id", "code").distinct().withColumn("place", place).filter(F.col("place") <= plan.k + 1).drop("place"),
         "hamming-codes",
     )
     asked = written(queries.filter(usable).select("id", "code").distinct(), "hamming-queries")
     blocks = max(1, math.ceil(rows.count() / plan.block_rows))
-    parts = max(1, math.ceil(asked.count() / plan.query_rows))
+    parts = query_groups(codes.sparkSession, asked.count(), blocks, plan.query_rows, plan.least_queries)
     row = F.xxhash64("id", "code")
     index = rows.select(
         F.pmod(row, F.lit(blocks)).cast("int").alias("block"),
@@ -137,15 +141,15 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, plan: HammingPlan = Hamm
             asked_codes = right["code"].to_numpy().view(np.uint64)
             for number, (query_id, code) in enumerate(zip(right["id"].to_numpy(), asked_codes)):
                 ids, near = block.nearest(number, query_id, code, plan.k)
-                out.append((np.full(len(ids), query_id), ids, near))
-        columns = [np.concatenate([x[i] for x in out]) if out else np.zeros(0, dtype=np.int64) for i in range(3)]
-        return pa.table({"query_id": columns[0], "id": columns[1], "distance": columns[2].astype(np.int32)})
+                out.append((np.full(len(ids), query_id), np.full(len(ids), code).view(np.int64), ids, near))
+        columns = [np.concatenate([x[i] for x in out]) if out else np.zeros(0, dtype=np.int64) for i in range(4)]
+        return pa.table({"query_id": columns[0], "code": columns[1], "id": columns[2], "distance": columns[3].astype(np.int32)})
 
     found = (
         index.groupBy("block", "part")
         .cogroup(search.groupBy("block", "part"))
-        .applyInArrow(searched, "query_id bigint, id bigint, distance int")
+        .applyInArrow(searched, "query_id bigint, code bigint, id bigint, distance int")
     )
-    order = Window.partitionBy("query_id").orderBy("distance", "id")
+    order = Window.partitionBy("query_id", "code").orderBy("distance", "id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= plan.k)
     return ranked.select("query_id", "rank", "id", "distance")

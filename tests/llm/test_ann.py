@@ -44,6 +44,32 @@ def test_small_blocks_give_the_same(spark, sf_dir):
     assert sum(r.vec_id in dict(want[r.query_id]) for r in got) >= 0.9 * 5 * len(want)
 
 
+def by_rows(rows, queries, k):
+    """Results of every query row: all other rows with as many components."""
+    out = []
+    for n, (q, x) in enumerate(rows):
+        if n in queries:
+            scored = []
+            for m, (i, v) in enumerate(rows):
+                if m != n and len(v) == len(x):
+                    a, b = (np.ldexp(np.array(y), -np.frexp(np.abs(y).max())[1]) for y in (x, v))
+                    scored.append((-round(float(a @ b) / math.sqrt(float(a @ a)) / math.sqrt(float(b @ b)), 9), i))
+            out += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out)
+
+
+def test_repeated_ids_and_rows_mixed_lengths_and_tiny_vectors(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.standard_normal(2).tolist()) for i in range(9)]
+    rows += [(i, rng.standard_normal(3).tolist()) for i in (0, 0, 20, 21, 22)]  # another length, a repeated id
+    rows += [rows[0], rows[0], (0, [0.5, 0.25]), (1, [2.0, 1.0])]  # equal rows, an id with another vector
+    rows += [(30, [1e-200, 0.0]), (31, [5e-324, 0.0]), (32, [1e300, 1e299])]
+    queries = [n for n, (i, _) in enumerate(rows) if i in (0, 30, 31, 32, 20)]
+    df = spark.createDataFrame([(i, v, 1, 9) for i, v in rows], "vec_id bigint, embedding array<double>, label int, score bigint")
+    got = nearest_neighbours(df, df.filter("vec_id in (0, 30, 31, 32, 20)"), CollisionPlan(width=4.0)).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9) + 0.0) for r in got) == by_rows(rows, queries, 5)
+
+
 def test_unusable_vectors_ties_and_few_candidates(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
