@@ -11,10 +11,13 @@ on clean texts; a logistic curve over that significance gives the score.
 
 Training looks at no more than ``ToxicityPlan.sample_rows`` labelled texts (in
 expectation; chosen by a hash of the text) and takes one of each group of close
-copies. A quarter of them calibrates, the rest gives the odds.
+copies, rows of one label whose sets of shingles have the same three minwise
+values. A quarter of them calibrates, the rest gives the odds; where that quarter
+lacks a toxic row or two clean ones, all of them calibrate.
 
 Defined results: a null or empty text has no passage and the score of such a
-text; null labels are not learned from; without toxic labels every score is 0.
+text; null labels are not learned from; without a toxic row to learn the odds
+from, or with fewer than two clean rows in all, every score is 0.
 """
 
 from __future__ import annotations
@@ -150,20 +153,20 @@ def _sample(train: DataFrame, plan: ToxicityPlan) -> DataFrame:
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             for low, high in groups(texts):
                 row, shingle = shingles_of(texts[low:high], 5)
-                least = np.zeros(high - low, dtype=np.uint64)
+                least = np.zeros((3, high - low), dtype=np.uint64)
                 begin = np.flatnonzero(np.diff(row, prepend=-1))
                 if len(row):
-                    least[row[begin]] = shingle[begin]
+                    for i, values in enumerate(least):
+                        values[row[begin]] = np.minimum.reduceat(mix(shingle + np.uint64(i)), begin)
                 part = batch.slice(low, high - low)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(least.view(np.int64)), *part.columns], names=["least", "label", "text"]
+                    [*[pa.array(values.view(np.int64)) for values in least], *part.columns], names=[*copies, "label", "text"]
                 )
 
-    marked = rows.mapInArrow(tokens, "least bigint, label int, text string")
-    one = marked.groupBy("least").agg(F.max_by(F.struct("label", "text"), F.xxhash64("text")).alias("one"))
-    return written(
-        one.select("one.label", "one.text", (F.pmod(F.xxhash64("least"), F.lit(4)) == 0).alias("fold")), "toxic-sample"
-    )
+    copies = ["least1", "least2", "least3"]
+    marked = rows.mapInArrow(tokens, ", ".join(f"{c} bigint" for c in copies) + ", label int, text string")
+    one = marked.groupBy(*copies, "label").agg(F.max_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    return written(one.select("label", "text", (F.pmod(F.xxhash64(*copies), F.lit(4)) == 0).alias("fold")), "toxic-sample")
 
 
 def _odds(sample: DataFrame, plan: ToxicityPlan) -> tuple[np.ndarray, np.ndarray, float]:
@@ -266,10 +269,13 @@ def fit_toxicity(train: DataFrame, plan: ToxicityPlan = ToxicityPlan()) -> Toxic
                     names=["n", "best", "label"],
                 )
 
-    seen = sample.filter("fold").mapInArrow(scanned, "n double, best double, label int").toArrow()
-    n, best, label = (seen[c].to_numpy() for c in ("n", "best", "label"))
-    clean = label == 0
-    if clean.sum() < 2 or clean.all():
+    for part in (sample.filter("fold"), sample):
+        seen = part.mapInArrow(scanned, "n double, best double, label int").toArrow()
+        n, best, label = (seen[c].to_numpy() for c in ("n", "best", "label"))
+        clean = label == 0
+        if clean.sum() >= 2 and not clean.all():
+            break
+    else:
         return model
     logs = np.log(np.maximum(n[clean], 1))
     slope = np.cov(logs, best[clean])[0, 1] / max(logs.var(ddof=1), 1e-9)

@@ -71,6 +71,25 @@ def test_toxicity_without_labels(spark):
     assert score_toxicity(docs.limit(0), fit_toxicity(train.limit(0))).collect() == []
 
 
+def test_toxicity_keeps_rows_that_share_a_passage(spark):
+    """One passage in all rows, and a frequent line, do not make them copies."""
+    shared = "this passage stands in every single row of the table"
+    rows = [(f"{shared} {text}", label) for _, text, label in toxic_rows(900)]
+    from stampcard.llm.toxicity import ToxicityPlan, _sample
+
+    sample = _sample(spark.createDataFrame(rows * 2, "text string, label int"), ToxicityPlan())
+    assert sample.count() > 0.9 * len(set(rows))
+
+
+def test_toxicity_calibrates_on_all_rows_where_its_quarter_lacks_a_kind(spark):
+    rows = [(f"clean words number {i} w{i}", 0) for i in range(40)] + [("vile thing", 1), ("vile vile other", 1), ("so vile", 1)]
+    df = spark.createDataFrame(rows, "text string, label int")
+    model = fit_toxicity(df)
+    assert model.curve is not None
+    got = {r.text2: r.score for r in score_toxicity(df.selectExpr("text", "text AS text2"), model).collect()}
+    assert min(got[t] for t, y in rows if y) > max(got[t] for t, y in rows if not y)
+
+
 def test_toxicity_query_scores_everything(spark, sf_dir):
     rows = QUERIES["op10_toxicity"](spark, sf_dir).collect()
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
