@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from stampcard.llm.common import table, written
 from stampcard.llm.line_dedup import dedup_lines
 from stampcard.llm.minhash_join import near_duplicates
-from stampcard.llm.mixing import mix_sources
+from stampcard.llm.mixing import mixed
 from stampcard.llm.piece_encoding import encode, read_model
 from stampcard.llm.queries import PIECE_MODEL, toxicity_model
 from stampcard.llm.toxicity import score_toxicity
@@ -46,7 +46,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         found.select(F.col("doc_id").alias("__row"), "component_id"), "__row"
     )
     chosen = named.groupBy("component_id").agg(F.min("order").alias("order")).select("order.__row")
-    kept = rows.join(written(chosen, "pipeline-chosen"), "__row", "left_semi")
+    # The chosen ids grow with the rows: one plan at every size, without a broadcast.
+    kept = rows.join(written(chosen, "pipeline-chosen").hint("merge"), "__row", "left_semi")
     return kept.unionByName(rows.filter(_wordless())).select(docs.columns)
 
 
@@ -57,16 +58,7 @@ def _wordless() -> Column:
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents, so that the sources meet their targets.
     Documents without words count for no target; they stay, once."""
-    taken = mix_sources(docs).filter("taken > 0")
-    times = taken.select("doc_id", F.col("source").alias("__source"), "size", "taken").distinct()
-    times = written(times.withColumn("__times", (F.col("taken") / F.col("size")).cast("int")), "pipeline-times")
-    once = times.groupBy("doc_id", "__source").agg(F.max("__times").alias("__times"))
-    joined = docs.join(
-        once.withColumnRenamed("doc_id", "__id"),
-        F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")),
-    )
-    filled = joined.filter(~_wordless()).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-    return filled.select(docs.columns).unionByName(docs.filter(_wordless()))
+    return mixed(docs)
 
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

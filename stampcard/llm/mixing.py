@@ -140,27 +140,22 @@ def _boundaries(rows: DataFrame, budgets: DataFrame, plan: MixPlan) -> DataFrame
         found = found.select("b_source", "rest", "low", "high", "before")
 
 
-def mix_sources(
-    docs: DataFrame,
-    plan: MixPlan = MixPlan(),
-    id_column: str = "doc_id",
-    source_column: str = "source",
-    text_column: str = "text",
-) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, source, size, source_size, target,
-    taken``, ``taken`` being the words the mix takes, repeats counted.
+def _sized(docs: DataFrame, id_column: str, source_column: str, text_column: str) -> DataFrame:
+    rows = docs.select(
+        F.col(id_column).alias("doc_id"),
+        F.col(source_column).alias("source"),
+        word_count(F.col(text_column)).alias("size"),
+        point_of(F.col(id_column)).alias("point"),
+    )
+    return written(rows, "mix-sizes")
+
+
+def source_thresholds(rows: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
+    """``t_source, source_size, target, times, threshold``: a row is taken
+    ``times`` times, and once more if its point is below the threshold.
 
     Of the row that crosses a budget, the side nearer to the budget is chosen.
     """
-    rows = written(
-        docs.select(
-            F.col(id_column).alias("doc_id"),
-            F.col(source_column).alias("source"),
-            word_count(F.col(text_column)).alias("size"),
-            point_of(F.col(id_column)).alias("point"),
-        ),
-        "mix-sizes",
-    )
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = written(source_targets(sizes, plan), "mix-targets")
     times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -169,7 +164,7 @@ def mix_sources(
     )
     ends = _boundaries(rows, budgets, plan)
     nearer = F.col("before") + F.col("words") - F.col("b.rest") < F.col("b.rest") - F.col("before")
-    thresholds = written(
+    return written(
         budgets.alias("a")
         .join(ends.alias("b"), F.col("a.source").eqNullSafe(F.col("b.b_source")), "left")
         .select(
@@ -181,6 +176,19 @@ def mix_sources(
         ),
         "mix-thresholds",
     )
+
+
+def mix_sources(
+    docs: DataFrame,
+    plan: MixPlan = MixPlan(),
+    id_column: str = "doc_id",
+    source_column: str = "source",
+    text_column: str = "text",
+) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, source, size, source_size, target,
+    taken``, ``taken`` being the words the mix takes, repeats counted."""
+    rows = _sized(docs, id_column, source_column, text_column)
+    thresholds = source_thresholds(rows, plan)
     once_more = (F.col("point") < F.col("threshold")).cast("bigint")
     return rows.join(thresholds, F.col("source").eqNullSafe(F.col("t_source"))).select(
         "doc_id",
@@ -190,3 +198,16 @@ def mix_sources(
         "target",
         (F.col("size") * (F.col("times") + once_more)).alias("taken"),
     )
+
+
+def mixed(docs: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them; those without words
+    once. Texts stay where they are: what a row needs to know is its source's
+    threshold, one row per source."""
+    thresholds = source_thresholds(_sized(docs, "doc_id", "source", "text"), plan).select(
+        F.col("t_source").alias("__source"), F.col("times").alias("__least"), F.col("threshold").alias("__threshold")
+    )
+    once_more = (point_of(F.col("doc_id")) < F.col("__threshold")).cast("bigint")
+    times = F.when(word_count(F.col("text")) > 0, F.col("__least") + once_more).otherwise(1).cast("int")
+    known = docs.join(thresholds, F.col("source").eqNullSafe(F.col("__source")))
+    return known.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times))).select(docs.columns)

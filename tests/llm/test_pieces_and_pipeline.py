@@ -96,6 +96,8 @@ def test_rows_of_one_id_with_different_texts_are_kept(spark):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
         [(4, text), (4, rows[1][1]), (None, rows[4][1]), (5, None), (5, " \n")], key=str
     )
+    clashing = docs.withColumnsRenamed({"n_chars": "times", "lang": "threshold"})
+    assert stage["mixing"](spark, clashing, "").columns == clashing.columns
     mixed = stage["mixing"](spark, docs, "").collect()
     assert [r.text for r in mixed if r.doc_id == 5] in ([None, " \n"], [" \n", None])
     sizes = {(i, t): len((t or "").split()) for i, t, _ in rows}
