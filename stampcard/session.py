@@ -86,8 +86,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/stampcard/{name}-{uuid.uuid4().hex}"
 
 
+def _stored(spark: SparkSession, path: str):
+    """A path of Hadoop's and the file system it is on."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a folder of the jobs' own, on whatever store it is; one that is
     not there is none."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    where, store = _stored(spark, path)
+    store.delete(where, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    where, store = _stored(spark, path)
+    if not store.exists(where):
+        return []
+    return sorted(status.getPath().getName() for status in store.listStatus(where))

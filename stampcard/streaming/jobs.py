@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import logging
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -34,6 +35,7 @@ from stampcard.functions.rules import (
 from stampcard.operators.decide import EVENT_KEY, apply_verdicts, verdicts, with_orders
 from stampcard.operators.ledger import apply_ledger
 from stampcard.schemas import LEDGER_DDL
+from stampcard.session import folder_names, remove_path
 from stampcard.sources import kafka, wire
 from stampcard.sources.database import DatabaseLedger
 from stampcard.sources.tables import BatchJournal, FileLedger, month_range
@@ -88,8 +90,16 @@ def observe_outcomes(decided: DataFrame, name: str = "outcomes") -> tuple[DataFr
 
 class SeenEvents:
     """(user, event id) pairs marked in the last days, one folder per day and
-    batch. Only days within the time to live are read; older folders may be
-    removed at any time."""
+    batch. Only days within the time to live are read. When a day is over, its
+    marks are moved to a folder by bucket, a hash of the event id, of which a
+    batch reads the buckets its own ids fall into; days beyond the time to live
+    are removed."""
+
+    MARK_DDL = "user_id bigint, event_id string, seen_at timestamp_ntz"
+    #: The verdicts that mark an event.
+    MARKS = "NOT in_state AND first_arrival = first_mark"
+    #: Buckets of a merged day.
+    BUCKETS = 64
 
     DDL = (
         "user_id bigint, event_id string, quota_month date, first_arrival bigint, "
@@ -101,6 +111,7 @@ class SeenEvents:
         self.spark = spark
         self.root = f"{root.rstrip('/')}/seen"
         self.ttl = dt.timedelta(milliseconds=ttl_ms)
+        self._tidied: dt.date | None = None
 
     def _folder(self, batch: str, now: dt.datetime) -> str:
         return f"{self.root}/day={now.date().isoformat()}/batch={batch}"
@@ -124,24 +135,60 @@ class SeenEvents:
         # Name the days, so that older folders are not even listed; the first
         # day makes sure that there is one.
         names = ",".join(day.isoformat() for day in [FIRST_DAY, *days])
-        rows = (
-            self.spark.read.schema(f"{self.DDL}, day date, batch string")
-            .option("basePath", self.root)
-            .parquet(f"{self.root}/day={FIRST_DAY}", f"{self.root}/day={{{names}}}")
+        recent = self._days(f"{self.DDL}, day date, batch string", self.root, names).filter(F.col("batch") != batch)
+        buckets = [r[0] for r in checkins.select(self._bucket()).distinct().collect()]
+        merged = self._days(f"{self.MARK_DDL}, day date, bucket int", f"{self.root}/merged", names).filter(
+            F.col("bucket").isin(buckets)
         )
+        rows = recent.filter(self.MARKS).select(*EVENT_KEY, "seen_at").unionByName(merged.select(*EVENT_KEY, "seen_at"))
         return (
-            rows.filter(F.col("batch") != batch)
-            .filter(F.col("seen_at") > time_literal(since))
-            .filter(~F.col("in_state") & (F.col("first_arrival") == F.col("first_mark")))
+            rows.filter(F.col("seen_at") > time_literal(since))
             .select(*EVENT_KEY)
             .join(checkins.select(*EVENT_KEY).distinct(), EVENT_KEY, "left_semi")
             .distinct()
         )
 
+    def _days(self, ddl: str, root: str, names: str) -> DataFrame:
+        reader = self.spark.read.schema(ddl).option("basePath", root)
+        return reader.parquet(f"{root}/day={FIRST_DAY}", f"{root}/day={{{names}}}")
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("event_id"), F.lit(self.BUCKETS)).cast("int").alias("bucket")
+
+    def tidy(self, now: dt.datetime) -> None:
+        """Move the marks of days that are over; once a day. One that is found in
+        both places, or was moved twice, counts once, as marks are a set."""
+        if self._tidied == now.date():
+            return
+        oldest = (now - self.ttl).date()
+        for folder, day in self._stored_days(self.root):
+            if day < now.date():
+                if day >= oldest:
+                    self._move(folder, day)
+                remove_path(self.spark, folder)
+        for folder, day in self._stored_days(f"{self.root}/merged"):
+            if day < oldest:
+                remove_path(self.spark, folder)
+        self._tidied = now.date()
+
+    def _stored_days(self, root: str) -> list[tuple[str, dt.date]]:
+        names = [name for name in folder_names(self.spark, root) if name.startswith("day=")]
+        days = [(f"{root}/{name}", dt.date.fromisoformat(name.removeprefix("day="))) for name in names]
+        return [(folder, day) for folder, day in days if day != FIRST_DAY]
+
+    def _move(self, folder: str, day: dt.date) -> None:
+        batches = [f"{folder}/{name}" for name in folder_names(self.spark, folder) if name.startswith("batch=")]
+        if batches:
+            marks = self.spark.read.schema(self.DDL).parquet(*batches).filter(self.MARKS)
+            rows = marks.select(*EVENT_KEY, "seen_at", self._bucket()).repartition(self.BUCKETS, "bucket")
+            rows.write.mode("append").partitionBy("bucket").parquet(f"{self.root}/merged/day={day}")
+
     def create(self) -> None:
         """An empty day, so that the first batch finds a table to read."""
         empty = self.spark.createDataFrame([], self.DDL)
         empty.write.mode("ignore").parquet(f"{self.root}/day={FIRST_DAY}/batch=initial")
+        marks = empty.select(*EVENT_KEY, "seen_at", self._bucket())
+        marks.write.mode("ignore").partitionBy("bucket").parquet(f"{self.root}/merged/day={FIRST_DAY}")
 
 
 @dataclass(frozen=True)
@@ -196,9 +243,9 @@ class Job:
         self.work(Batch(name, now, self._staged(batch_df, name)))
         self.journal.note(name, "finished", now)
         self.journal.forget_before(name)
-        self.tidy(name)
+        self.tidy(name, now)
 
-    def tidy(self, name: str) -> None:
+    def tidy(self, name: str, now: dt.datetime) -> None:
         """What may be done between two batches."""
 
     def _staged(self, batch_df: DataFrame, name: str) -> DataFrame:
@@ -273,8 +320,9 @@ class LiveJob(Job):
         self.sink(by_user(sent).drop("arrival_seq"), batch.name)
         LOG.info("batch %s: %s", batch.name, outcomes.get)
 
-    def tidy(self, name: str) -> None:
+    def tidy(self, name: str, now: dt.datetime) -> None:
         self.ledger.release(name)
+        self.seen.tidy(now)
 
 
 class LedgerJob(Job):
@@ -302,7 +350,7 @@ class LedgerJob(Job):
         self.on_missing = on_missing
         self.merge_every = merge_every
 
-    def tidy(self, name: str) -> None:
+    def tidy(self, name: str, now: dt.datetime) -> None:
         self.ledger.release(name)
         if isinstance(self.ledger, FileLedger):
             self.ledger.merge_batches(self.merge_every)

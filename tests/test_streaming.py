@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import re
 import time
 
 import model
@@ -163,6 +164,36 @@ def test_copies_at_days_0_5_and_10(spark, tmp_path):
     assert sent(spark, tmp_path) == [("0", "a", 1), ("2", "a", 1)]
 
 
+def test_days_that_are_over_are_merged_and_old_ones_removed(spark, tmp_path):
+    ledger = new_ledger(spark, tmp_path)
+    times = [day(0, 1), day(0, 5), day(0, 9), day(1), day(2), day(6), day(9)]
+    job = live_job(spark, tmp_path, ledger, Clock(*times), cfg=CFG.with_(max_per_month=50))
+    for n, events in enumerate(["ab", "bc", "ad", "abcde", "e", "abe", "ae"]):
+        job.run(rows_of(spark, [Checkin(e, 1, DAY, 10 * n + k) for k, e in enumerate(events)]), f"q-{n}")
+    passed = {}
+    for batch, event, _ in sent(spark, tmp_path):
+        passed.setdefault(batch, []).append(event)
+    # On day 9 the marks of day 0 have expired, that of day 1 has expired too.
+    assert passed == {"0": ["a", "b"], "1": ["c"], "2": ["d"], "3": ["e"], "6": ["a", "e"]}
+    folders = lambda path: sorted(p.name for p in path.iterdir() if p.name.startswith("day="))
+    assert folders(tmp_path / "state/seen") == ["day=1970-01-01", "day=2024-03-10"]
+    assert set(folders(tmp_path / "state/seen/merged")) <= {"day=1970-01-01", "day=2024-03-03", "day=2024-03-07"}
+
+
+def test_a_small_batch_reads_few_files_of_the_memory(spark, tmp_path):
+    cfg = CFG.with_(max_per_month=10_000)
+    job = live_job(spark, tmp_path, new_ledger(spark, tmp_path), Clock(day(0), day(1)), cfg=cfg)
+    job.run(rows_of(spark, [Checkin(f"e{k}", k % 5, DAY, k) for k in range(600)]), "q-0")
+    job.run(rows_of(spark, [Checkin("x", 1, DAY, 9000)]), "q-1")
+    merged = tmp_path / "state/seen/merged/day=2024-03-01"
+    assert len(list(merged.glob("bucket=*/*.parquet"))) == 64
+    again = rows_of(spark, [Checkin("e7", 2, DAY, 1), Checkin("e8", 3, DAY, 2), Checkin("new", 1, DAY, 3)])
+    seen = job.seen.read("q-2", day(2), again)
+    assert sorted(r.event_id for r in seen.collect()) == ["e7", "e8"]
+    plan = seen._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ IN \(", plan)
+
+
 def test_quota_reject_may_come_again(spark, tmp_path):
     full = [(1, dt.date(2024, 1, d)) for d in (1, 2)]
     job = live_job(spark, tmp_path, new_ledger(spark, tmp_path, daily=full), Clock(day(0)))
