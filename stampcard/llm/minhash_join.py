@@ -238,23 +238,16 @@ class _Search:
         components of a group that any of its links joins.
         """
         plan, exact = self.plan, sets is not None
-        blocks = F.ceil(F.col("n") / plan.leaf).cast("int")
         if exact:
-            # Two blocks that meet hold no more shingles than a task should.
-            near = written(
-                rows.select("node", "c").join(sets.select("c", F.size("set").alias("size")), "c"), "join-near"
-            )
-            held = F.ceil(F.sum("size") / (plan.batch_shingles // 2)).cast("int")
-            nodes = near.groupBy("node").agg(F.count(F.lit(1)).alias("n"), held.alias("held")).filter("n > 1")
-            rows = written(near.join(written(nodes, "join-near-nodes"), "node").select("node", "c", "n", "held"), "join-near-rows")
-            blocks = F.greatest(blocks, F.col("held"))
+            rows = written(rows.join(sets.select("c"), "c", "left_semi"), "join-near")
+        blocks = F.ceil(F.col("n") / plan.leaf).cast("int")
         block = F.pmod(F.xxhash64("c"), blocks).cast("int")
         met = F.transform(
             F.sequence(F.lit(0), blocks - 1),
             lambda i: F.struct(F.least(block, i).alias("x"), F.greatest(block, i).alias("y")),
         )
         known = _likely_in(self.classes.select("c", "n_shingles", "sketch"), rows.select("c"))
-        held = rows.select("c", blocks.cast("bigint").alias("times"))
+        held = rows.withColumn("times", blocks.cast("bigint"))
         if exact:
             known = known.join(sets, "c")
             held = held.join(self.classes.select("c", "n_shingles"), "c").withColumn(
@@ -424,11 +417,17 @@ class _Search:
         self.link(written(self.compare(rows, self.full_sets(alike)), "join-exact"))
 
 
-def _shared_ids(signed: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links ``a, b`` between the classes of ids that have several texts."""
+def _several_texts(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``d, k1, k2`` of the rows with an id and words, and the ids ``d`` that have
+    more than one text."""
     texts = signed.filter("d IS NOT NULL AND n_shingles > 0").select("d", "k1", "k2")
-    several = texts.groupBy("d").agg(F.min(F.struct("k1", "k2")).alias("low"), F.max(F.struct("k1", "k2")).alias("high"))
-    mixed = texts.join(several.filter("low != high").select("d"), "d").distinct()
+    ends = texts.groupBy("d").agg(F.min(F.struct("k1", "k2")).alias("low"), F.max(F.struct("k1", "k2")).alias("high"))
+    return texts, ends.filter("low != high").select("d")
+
+
+def _shared_ids(texts: DataFrame, several: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links ``a, b`` between the classes of ids that have several texts."""
+    mixed = texts.join(several, "d").distinct()
     named = salted_lookup(mixed, classes.select("k1", "k2", "c"), ["k1", "k2"], ["d"]).select("d", "c").distinct()
     least = named.groupBy("d").agg(F.min("c").alias("a"))
     return named.join(least, "d").filter("a != c").select("a", F.col("c").alias("b")).distinct()
@@ -456,9 +455,9 @@ def near_duplicates(
     )
     search = _Search(rows.select(own_id.alias("c"), "k1", "k2", "text"), classes, plan)
     search.run()
-    shared = written(_shared_ids(signed, classes), "join-shared")
-    if shared.head(1):
-        search.link(shared)
+    texts, several = _several_texts(signed)
+    if several.count():
+        search.link(written(_shared_ids(texts, several, classes), "join-shared"))
     facts = search.labelled(classes.select("c", "k1", "k2")).select("k1", "k2", "label")
     out = salted_lookup(signed.select("d", "k1", "k2", "n_shingles"), written(facts, "join-facts"), ["k1", "k2"], ["d"])
     component = F.when(F.col("n_shingles") == 0, F.col("d")).otherwise(
