@@ -13,6 +13,9 @@ has one, deeper nodes have 1 / similarity on average). A node is settled
 In every node each text is first compared with a few pivots of the node. That
 links most of a large group of near copies in time linear in its size, and
 settles nodes of such copies, so no group is ever expanded into all its pairs.
+Deeper levels leave the pivots out once those of a level linked next to nothing:
+what is left then are texts that share a passage. The exhaustive comparisons at
+the end see all pairs of a node that are not linked, with pivots or without.
 Independent trees raise the recall. Signatures, and sketches of more minwise
 hashes cut to a byte each, only choose the pairs: a link is confirmed on the
 full sets of both texts.
@@ -61,6 +64,9 @@ class JoinPlan:
     #: Large nodes are dealt out further while that leaves at most so large a
     #: part of their rows in large nodes; else blocks are cheaper.
     shrink: float = 0.7
+    #: Pivots are compared at a level if those of the level before linked at
+    #: least so large a part of its rows.
+    pivots_pay: float = 0.01
     #: Rows that one task compares, about.
     batch: int = 16_384
     #: Shingles that one task holds when it compares full sets, about.
@@ -195,9 +201,9 @@ class _Search:
         both = pairs.join(side("b"), "b").join(side("a"), "a")
         return both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(filtered, "a bigint, b bigint")
 
-    def confirm(self, pairs: DataFrame) -> None:
+    def confirm(self, pairs: DataFrame) -> int:
         """Check pairs on the full sets, keep the links, and bring the
-        components up to date."""
+        components up to date. Returns the number of links."""
         pairs = written(pairs.distinct(), "join-pairs")
         needed = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
         texts = written(self.needed_texts(needed), "join-texts")
@@ -226,7 +232,7 @@ class _Search:
                     yield part.filter(pa.array(keep))
 
         found = written(both.select("a", "b", "text_a", "text_b").mapInArrow(linked, "a bigint, b bigint"), "join-links")
-        self.link(found)
+        return self.link(found)
 
     def compare(self, rows: DataFrame, sets: DataFrame | None = None) -> DataFrame:
         """Compare all texts within the nodes of ``rows`` (``node, c, n``) that
@@ -351,13 +357,18 @@ class _Search:
             .agg(F.first("text").alias("text"))
         )
 
-    def link(self, found: DataFrame) -> None:
-        """Take in confirmed links and bring the components up to date."""
+    def link(self, found: DataFrame) -> int:
+        """Take in confirmed links, bring the components up to date if there are
+        any, and return their number."""
+        links = found.count()
+        if not links:
+            return 0
         known = found.select("a", "b")
         if self.labels is not None:
             before = self.labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
             known = known.unionByName(before.filter("a != b"))
         self.labels = connected_components(known)
+        return links
 
     def still_mixed(self, rows: DataFrame) -> DataFrame:
         """Rows of the nodes whose texts are not all in one component."""
@@ -370,6 +381,18 @@ class _Search:
         )
         return named.join(written(mixed, "join-mixed"), "node", "left_semi").select("node", "c", "n")
 
+    def compare_pivots(self, live: DataFrame) -> int:
+        """Compare the texts of ``live`` (``c``) with the ``pivots`` of their
+        nodes. Returns the number of links found."""
+        star = live.select("c", F.explode("pivots").alias("p")).filter("c != p")
+        star = star.select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
+        if self.labels is not None:
+            for side in ("a", "b"):
+                named = self.labelled(star.withColumnRenamed(side, "c"))
+                star = named.withColumnsRenamed({"c": side, "label": f"label_{side}"})
+            star = star.filter("label_a != label_b").select("a", "b")
+        return self.confirm(self.alike(written(star, "join-star")))
+
     def run(self) -> None:
         plan = self.plan
         sig = F.col("sig")
@@ -379,23 +402,18 @@ class _Search:
         ]
         rows = self.classes.select("c", F.explode(F.array(*roots)).alias("node"))
         small: list[DataFrame] = []
-        before = None
+        before, pay = None, True
         for level in range(1, plan.levels + 1):
             pivots = F.array(*[F.min(F.col("c").bitwiseXOR(F.lit(o))).bitwiseXOR(F.lit(o)) for o in PIVOT_ORDERS])
-            nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), pivots.alias("pivots")).filter("n > 1")
-            live = written(
-                rows.join(written(nodes, "join-nodes"), "node").select("node", "c", "n", "pivots"), f"join-level{level}"
-            )
-            star = live.select("c", F.explode("pivots").alias("p")).filter("c != p")
-            star = star.select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
-            if self.labels is not None:
-                for side in ("a", "b"):
-                    named = self.labelled(star.withColumnRenamed(side, "c"))
-                    star = named.withColumnsRenamed({"c": side, "label": f"label_{side}"})
-                star = star.filter("label_a != label_b").select("a", "b")
-            self.confirm(self.alike(written(star, "join-star")))
-            # Both texts of a node of two have been compared.
-            open_rows = written(self.still_mixed(live.select("node", "c", "n").filter("n > 2")), f"join-open{level}")
+            sizes = [F.count(F.lit(1)).alias("n"), *[pivots.alias("pivots")] * pay]
+            nodes = written(rows.groupBy("node").agg(*sizes).filter("n > 1"), "join-nodes")
+            live = written(rows.join(nodes, "node").select("node", "c", *nodes.columns[1:]), f"join-level{level}")
+            unsettled = live.select("node", "c", "n")
+            if pay:
+                pay = self.compare_pivots(live) >= plan.pivots_pay * live.count()
+                # Both texts of a node of two have been compared.
+                unsettled = unsettled.filter("n > 2")
+            open_rows = written(self.still_mixed(unsettled), f"join-open{level}")
             large = open_rows.filter(F.col("n") > plan.leaf)
             left = large.count()
             last = level == plan.levels or not left or (before is not None and left > plan.shrink * before)
@@ -409,9 +427,11 @@ class _Search:
             child = lambda k: F.xxhash64("node", draw(k), F.element_at(sig, draw(k)))
             extra = F.pmod(F.xxhash64("node", F.lit(0)), F.lit(1000)) < int(1000 * (1 / plan.similarity - 1))
             children = F.when(extra, F.array(child(1), child(2))).otherwise(F.array(child(1)))
-            rows = large.join(_likely_in(self.classes.select("c", "sig"), large.select("c")), "c").select(
+            dealt = large.join(_likely_in(self.classes.select("c", "sig"), large.select("c")), "c").select(
                 "c", F.explode(children).alias("child")
-            ).select("c", F.col("child").alias("node"))
+            )
+            # Read twice by the next level: dealt once.
+            rows = written(dealt.select("c", F.col("child").alias("node")), "join-dealt")
         rows = written(reduce(DataFrame.unionByName, small), "join-leaves")
         alike = written(self.compare(rows).distinct(), "join-alike")
         self.link(written(self.compare(rows, self.full_sets(alike)), "join-exact"))

@@ -74,6 +74,11 @@ def test_equal_to_all_pairs(spark, leaf, levels):
     compare(spark, groups_of_copies(random.Random(leaf)), JoinPlan(leaf=leaf, levels=levels))
 
 
+@pytest.mark.parametrize("pay", [0.0, 2.0])
+def test_deeper_levels_with_pivots_and_without(spark, pay):
+    compare(spark, groups_of_copies(random.Random(5)), JoinPlan(leaf=8, levels=4, pivots_pay=pay))
+
+
 def test_odd_rows(spark):
     rows = [
         (5, "a b c d e f"), (3, "A  B\tC D\nE f"), (7, "a b"), (8, "A b"), (9, ""), (10, None), (11, " \n "),
