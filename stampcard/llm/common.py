@@ -14,8 +14,14 @@ from stampcard.session import scratch_path, tune
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+#: What a task sends to its Python worker at once. Both sides hold a batch, the
+#: JVM outside its heap and twice over while the batch grows.
+BATCH_BYTES = "8MB"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    tune(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

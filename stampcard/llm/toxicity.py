@@ -287,18 +287,22 @@ def fit_toxicity(train: DataFrame, plan: ToxicityPlan = ToxicityPlan()) -> Toxic
     return model
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, text_column: str = "text") -> DataFrame:
-    """``docs`` without its text, with ``score``, and ``passages``: all
-    significant segments by word numbers."""
-    text = docs[text_column]
-    rest, schema = extended(docs.drop(text_column), f"score double, passages {PASSAGE}")
+def score_toxicity(
+    docs: DataFrame, model: ToxicityModel, text_column: str = "text", keep_text: bool = False
+) -> DataFrame:
+    """``docs`` without its text, or with it, and with ``score``, and ``passages``:
+    all significant segments by word numbers. A text that is kept is still sent
+    to the workers once."""
+    rest, schema = extended(docs if keep_text else docs.drop(text_column), f"score double, passages {PASSAGE}")
     names = rest.columns
+    sent = names if text_column in names else [*names, docs[text_column]]
+    at = names.index(text_column) if text_column in names else len(names)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            texts = _lower(batch.column(batch.num_columns - 1))
+            texts = _lower(batch.column(at))
             for low, high in groups(texts):
                 part = batch.slice(low, high - low).select(names)
                 scans = list(_scan(texts[low:high], model))
@@ -325,4 +329,4 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_column: str = "te
                     names=[*names, "score", "passages"],
                 )
 
-    return docs.select(*names, text).mapInArrow(scored, schema)
+    return docs.select(*sent).mapInArrow(scored, schema)

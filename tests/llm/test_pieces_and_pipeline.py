@@ -4,8 +4,10 @@ import random
 import time
 import tracemalloc
 
+import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stampcard.llm.common import table
@@ -119,3 +121,30 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
         assert {r.doc_id for r in out} <= {1, 2, None, 4, 6}
         assert not rows_of or {1, 2} <= {r.doc_id for r in out}
         assert bool(out) == bool(rows_of)
+
+
+def test_toxicity_sends_a_text_once(spark, tmp_path):
+    folder = str(tmp_path)
+    schema = "doc_id bigint, text string, score string"
+    rows = [(1, "a text", "x"), (2, None, None), (None, "", "y")]
+    docs = spark.createDataFrame(rows, schema)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    kept = corpus_pipeline.toxicity(spark, docs, folder)
+    node = kept._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "MapInArrow":
+        node = node.children().head()
+    assert node.child().schema().simpleString().count("string") == 2
+    assert kept.dtypes == docs.dtypes
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_long_texts_reach_a_worker_in_small_batches(spark, tmp_path):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    texts = spark.range(0, 600, 1, 1).select(F.repeat(F.lit("abcdefghij"), 10_000).alias("text"))
+    texts.write.parquet(f"{tmp_path}/documents.parquet")
+    texts = table(spark, str(tmp_path), "documents")
+    assert max(r.n for r in texts.mapInArrow(sizes, "n bigint").collect()) < 10e6
