@@ -101,9 +101,9 @@ def settle(ruled: DataFrame, cfg: EngineConfig, cut: Cut) -> DataFrame:
     is turned down exactly if the month was filled by accepted copies that
     arrived before it.
 
-    A round writes one row per full month and nothing else; the next one starts
-    from the same verdicts. Ranks are limited to the quota before and after the
-    shuffle.
+    A round writes one row per full month. The first one that finds some also
+    writes the copies still open; as those that are out stay out, the later rounds
+    read these only. Ranks are limited to the quota before and after the shuffle.
     """
     free = ~F.col("in_state") & ~F.col("in_ledger") & _has_quota(cfg)
     rows = ruled.filter(free).select(*COPY_KEY, "month_count", "first_arrival")
@@ -111,13 +111,15 @@ def settle(ruled: DataFrame, cfg: EngineConfig, cut: Cut) -> DataFrame:
     month = Window.partitionBy(*month_key).orderBy("first_arrival")
     room = F.lit(cfg.max_per_month) - F.col("month_count")
 
-    def proposals(full: DataFrame | None) -> DataFrame:
-        if full is None:
-            return first_per_key(rows, EVENT_KEY, "first_arrival")
+    def still_open(rows: DataFrame, full: DataFrame) -> DataFrame:
         open_ = rows.join(full, month_key, "left").filter(
             F.col("__last").isNull() | (F.col("first_arrival") <= F.col("__last"))
         )
-        return first_per_key(open_.drop("__last"), EVENT_KEY, "first_arrival")
+        return open_.drop("__last")
+
+    def proposals(full: DataFrame | None) -> DataFrame:
+        open_ = rows if full is None else still_open(rows, full)
+        return first_per_key(open_, EVENT_KEY, "first_arrival")
 
     full, before = None, None
     while True:
@@ -134,6 +136,8 @@ def settle(ruled: DataFrame, cfg: EngineConfig, cut: Cut) -> DataFrame:
         now = full.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*month_key, "__last"))).head()
         if now[0] == 0 or now == before:
             break
+        if before is None:
+            rows = cut(still_open(rows, full))
         before = now
     # What is still proposed is kept, so a month has no more rows than its quota.
     accepted = proposals(full).select(

@@ -12,11 +12,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, IntegerType, LongType, TimestampNTZType
+
+#: Types of a fixed width, which a hash aggregate can keep.
+PLAIN = (BooleanType, DateType, IntegerType, LongType, TimestampNTZType)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_by: str = "arrival_seq") -> DataFrame:
-    """The row of each key that arrived first."""
+    """The row of each key that arrived first.
+
+    Where all other columns are numbers, dates or times, each is taken by itself,
+    from the same row: such sums are kept in a hash table, a struct needs two sorts.
+    """
     rest = [name for name in df.columns if name not in keys]
+    if all(isinstance(df.schema[name].dataType, PLAIN) for name in rest):
+        firsts = [F.min_by(name, order_by).alias(name) for name in rest]
+        return df.groupBy(*keys).agg(*firsts).select(*keys, *rest)
     first = F.min_by(F.struct(*rest), order_by)
     return df.groupBy(*keys).agg(first.alias("__first")).select(*keys, "__first.*")
 

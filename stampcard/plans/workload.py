@@ -18,6 +18,8 @@ from stampcard.schemas import METADATA_DDL, METADATA_FIELDS
 
 LEDGER_CUT = "2024-01-08"
 NOW = "2024-02-15 12:00:00.250"
+#: How long after its event the last copy of it arrives.
+LATEST_COPY = 3007
 
 
 def now():
@@ -59,7 +61,7 @@ def checkins_of(raw: DataFrame) -> DataFrame:
     original = _copy(0, 0, 0)
     copies = (
         F.when(F.col("event_type") == "purchase", F.array(original, _copy(0, 0, 1005)))
-        .when(F.col("event_type") == "click", F.array(original, _copy(0, 30, 3007)))
+        .when(F.col("event_type") == "click", F.array(original, _copy(0, 30, LATEST_COPY)))
         .when(F.col("event_type") == "error", F.array(original, _copy(1, 0, 2003)))
         .otherwise(F.array(original))
     )

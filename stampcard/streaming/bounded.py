@@ -32,20 +32,29 @@ def clock_of(batch: int) -> dt.datetime:
     return dt.datetime.fromisoformat(W.NOW) + batch * STEP
 
 
-def ranges(raw: DataFrame, checkins: DataFrame) -> list[DataFrame]:
-    """The check-ins by arrival: about one half, ``MIDDLE`` arrivals, the rest."""
+def ranges(raw: DataFrame) -> list[DataFrame]:
+    """The check-ins by arrival: about one half, ``MIDDLE`` arrivals, the rest.
+    Each is derived from the events that can fall into it: a check-in arrives
+    with its event or, as a copy, up to ``W.LATEST_COPY`` later."""
     most = raw.agg(F.max("event_id")).head()[0] or 0
     first = most * 10 // 2
-    arrival = F.col("arrival_seq")
-    bounds = [arrival < first, (arrival >= first) & (arrival < first + MIDDLE), arrival >= first + MIDDLE]
-    return [checkins.filter(bound) for bound in bounds]
+    event, arrival = F.col("event_id"), F.col("arrival_seq")
+    found = []
+    for low, high in ((None, first), (first, first + MIDDLE), (first + MIDDLE, None)):
+        some, bound = F.lit(True), F.lit(True)
+        if low is not None:
+            some, bound = some & (event >= (low - W.LATEST_COPY) // 10), bound & (arrival >= low)
+        if high is not None:
+            some, bound = some & (event <= high // 10), bound & (arrival < high)
+        found.append(W.checkins_of(raw.filter(some)).filter(bound))
+    return found
 
 
 def batches(spark: SparkSession, sf_dir: str, folder: str, clock: bool = False) -> Iterator[int]:
     """Put one range after another into ``folder``; with ``clock`` its time in
     milliseconds is a column ``now_ms``."""
     raw = W.events(spark, sf_dir)
-    for n, rows in enumerate(ranges(raw, W.checkins_of(raw))):
+    for n, rows in enumerate(ranges(raw)):
         if clock:
             millis = clock_of(n).replace(tzinfo=dt.timezone.utc).timestamp() * 1000
             rows = rows.withColumn("now_ms", F.lit(round(millis)).cast("bigint"))

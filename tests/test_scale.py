@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from stampcard import EngineConfig
-from stampcard.operators.decide import accept, decide
+from stampcard.operators.decide import accept, decide, settle
+from stampcard.operators.dedup import first_per_key
 from stampcard.operators.ledger import day_winners, event_log_rows, same_day_guard
 from stampcard.operators.lookups import mark_ledger_duplicates
 from stampcard.plans import registry
+from stampcard.plans import workload as W
 from stampcard.sources.tables import FileLedger, month_range
+from stampcard.streaming.bounded import ranges
 
 SMALL_SPLITS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -183,3 +186,53 @@ def test_ledger_reads_are_bound_to_the_months_of_the_batch(spark, tmp_path):
     bound = re.search(r"PartitionFilters: \[(.*)\]", scan).group(1)
     assert "quota_month" in bound
     assert month_range(days.limit(0)) is None
+
+
+def test_first_rows_of_plain_columns_are_hashed(spark):
+    rows = spark.createDataFrame(
+        [(1, "a", 5, None), (1, "a", 3, 30), (1, "a", 4, 40), (2, "a", None, 7), (2, "b", 9, None)],
+        "user_id bigint, event_id string, first_arrival bigint, month_count bigint",
+    )
+    first = first_per_key(rows, ["user_id", "event_id"], "first_arrival")
+    assert first.columns == rows.columns
+    assert "SortAggregate" not in first._jdf.queryExecution().executedPlan().toString()
+    # As with a struct, a key without an order has nulls.
+    assert sorted(map(tuple, first.collect())) == [(1, "a", 3, 30), (2, "a", None, None), (2, "b", 9, None)]
+
+
+def test_later_rounds_read_open_copies_only(spark, tmp_path):
+    months = [(1, f"E{n}", month, 0, n + 100 * (month == "2024-02-01")) for n in range(30) for month in ("2024-01-01", "2024-02-01")]
+    ruled = spark.createDataFrame(
+        [(*row, False, False) for row in months],
+        "user_id bigint, event_id string, quota_month string, month_count bigint, first_arrival bigint, in_ledger boolean, in_state boolean",
+    ).selectExpr("* EXCEPT (quota_month)", "CAST(quota_month AS date) AS quota_month", "first_arrival AS first_mark")
+    tables = []
+
+    def cut(df):
+        df.write.parquet(f"{tmp_path}/{len(tables)}")
+        tables.append(spark.read.parquet(f"{tmp_path}/{len(tables)}"))
+        return tables[-1]
+
+    settled = settle(ruled, CFG.with_(order_mode="sequential"), cut)
+    quota = CFG.max_per_month
+    taken = {(r.event_id, r.first_mark) for r in settled.collect() if r.first_arrival == r.first_mark}
+    assert taken == {(f"E{n}", n) for n in range(quota)} | {(f"E{n}", n + 100) for n in range(quota, 2 * quota)}
+    opened = [t for t in tables if "event_id" in t.columns]
+    # Of the 30 copies of the first month, those beyond its quota are out.
+    assert [t.count() for t in opened] == [30 + quota]
+
+
+def test_ranges_of_a_stream_read_the_events_they_need(spark, tmp_path):
+    kinds = ("click", "error", "purchase", "view")
+    events = spark.range(3000).selectExpr(
+        "nullif(id, 7) AS event_id", "CAST('2024-01-05 10:00:00' AS timestamp_ntz) AS ts", "id % 9 AS user_id",
+        f"element_at(array{kinds}, CAST(id % 4 AS int) + 1) AS event_type", "1.0D AS value",
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    raw = W.events(spark, str(tmp_path))
+    arrivals = [r.arrival_seq for r in W.checkins_of(raw).collect() if r.arrival_seq is not None]
+    cuts = [(-1, 14995), (14995, 16495), (16495, 10**9)]
+    parts = ranges(raw)
+    for (low, high), part in zip(cuts, parts, strict=True):
+        assert "event_id" in part._jdf.queryExecution().executedPlan().toString().partition("PushedFilters")[2].partition("]")[0]
+        assert sorted(r.arrival_seq for r in part.collect()) == sorted(a for a in arrivals if low <= a < high)
