@@ -98,8 +98,7 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> ToxicityModel:
     # Of several labels of a document the strictest counts.
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("label"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    train = docs.filter(crc_part(F.col("doc_id"), 5) > 0).join(labels, "doc_id")
-    return fit_toxicity(train)
+    return fit_toxicity(docs.filter(crc_part(F.col("doc_id"), 5) > 0), labels=labels)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

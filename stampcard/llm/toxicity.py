@@ -13,7 +13,9 @@ Training looks at no more than ``ToxicityPlan.sample_rows`` labelled texts (in
 expectation; chosen by a hash of the text) and takes one of each group of close
 copies, rows of one label whose sets of shingles have the same three minwise
 values. A quarter of them calibrates, the rest gives the odds; where that quarter
-lacks a toxic row or two clean ones, all of them calibrate.
+lacks a toxic row or two clean ones, all of them calibrate. Ids and hashes of the
+texts meet the labels and choose the rows; the chosen ids, which the plan bounds,
+are broadcast to the texts, so that no text is shuffled.
 
 Defined results: a null or empty text has no passage and the score of such a
 text; null labels are not learned from; without a toxic row to learn the odds
@@ -29,10 +31,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stampcard.llm.common import extended, written
+from stampcard.llm.common import extended, text_key, written
 from stampcard.llm.wordhash import groups, mix, not_alphanumeric, shingles_of, words_of
 
 PASSAGE = "array<struct<first_word:int,last_word:int,score:double,p_value:double>>"
@@ -139,14 +141,36 @@ def _scan(texts: list[bytes], model: ToxicityModel) -> Iterator[tuple[int, list[
         yield counts[r], maximal_segments(part - begin[r], odds[part], model.plan.drift) if len(part) else []
 
 
-def _sample(train: DataFrame, plan: ToxicityPlan) -> DataFrame:
-    """``label, text, fold``: a bounded part of the rows, close copies once."""
-    rows = train.filter(F.col("label").isin(0, 1) & F.col("text").isNotNull()).select(
-        F.col("label").cast("int").alias("label"), "text"
-    )
+def _bounded(rows: DataFrame, hash_: Column, plan: ToxicityPlan) -> DataFrame:
+    """All rows, or of too many those whose text has a small hash."""
     n = rows.count()
-    if n > plan.sample_rows:
-        rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < int(1_000_003 * plan.sample_rows / n))
+    if n <= plan.sample_rows:
+        return rows
+    return rows.filter(F.pmod(hash_, F.lit(1_000_003)) < int(1_000_003 * plan.sample_rows / n))
+
+
+def _labelled(docs: DataFrame, labels: DataFrame, plan: ToxicityPlan) -> DataFrame:
+    """``label, text``: the bounded part of ``docs`` joined with ``labels``. Of
+    equal texts with one label those of the smallest id stand for all."""
+    known = docs.filter(F.col("text").isNotNull()).select("doc_id", *text_key(F.col("text")))
+    rows = known.join(_usable(labels).select("doc_id", "label"), "doc_id")
+    few = _bounded(written(rows, "toxic-labelled"), F.col("k1"), plan)
+    ids = written(few.groupBy("k1", "k2", "label").agg(F.min("doc_id").alias("doc_id")), "toxic-ids")
+    texts = docs.select("doc_id", "text", *text_key(F.col("text")))
+    return texts.join(F.broadcast(ids), ["doc_id", "k1", "k2"]).select("label", "text")
+
+
+def _usable(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("label").isin(0, 1)).withColumn("label", F.col("label").cast("int"))
+
+
+def _sample(train: DataFrame, plan: ToxicityPlan, labels: DataFrame | None = None) -> DataFrame:
+    """``label, text, fold``: a bounded part of the rows, close copies once."""
+    if labels is None:
+        rows = _usable(train.filter(F.col("text").isNotNull())).select("label", "text")
+        rows = _bounded(rows, F.xxhash64("text"), plan)
+    else:
+        rows = _labelled(train, labels, plan)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,9 +188,16 @@ def _sample(train: DataFrame, plan: ToxicityPlan) -> DataFrame:
                 )
 
     copies = ["least1", "least2", "least3"]
-    marked = rows.mapInArrow(tokens, ", ".join(f"{c} bigint" for c in copies) + ", label int, text string")
-    one = marked.groupBy(*copies, "label").agg(F.max_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
-    return written(one.select("label", "text", (F.pmod(F.xxhash64(*copies), F.lit(4)) == 0).alias("fold")), "toxic-sample")
+    marked = written(
+        rows.mapInArrow(tokens, ", ".join(f"{c} bigint" for c in copies) + ", label int, text string").select(
+            F.monotonically_increasing_id().alias("row"), *copies, *text_key(F.col("text")), "label", "text"
+        ),
+        "toxic-marked",
+    )
+    one = marked.groupBy(*copies, "label").agg(F.max(F.struct("k1", "k2", "row")).alias("one"))
+    fold = F.pmod(F.xxhash64(*copies), F.lit(4)) == 0
+    chosen = written(one.select("one.row", fold.alias("fold")), "toxic-chosen")
+    return marked.select("row", "label", "text").join(F.broadcast(chosen), "row").drop("row")
 
 
 def _odds(sample: DataFrame, plan: ToxicityPlan) -> tuple[np.ndarray, np.ndarray, float]:
@@ -250,9 +281,12 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def fit_toxicity(train: DataFrame, plan: ToxicityPlan = ToxicityPlan()) -> ToxicityModel:
-    """Learn from ``train`` (``text``, ``label`` 0 or 1)."""
-    sample = _sample(train, plan)
+def fit_toxicity(
+    train: DataFrame, plan: ToxicityPlan = ToxicityPlan(), labels: DataFrame | None = None
+) -> ToxicityModel:
+    """Learn from ``train`` (``text``, ``label`` 0 or 1). With ``labels``
+    (``doc_id``, ``label``) ``train`` has ``doc_id`` and ``text``, and is joined."""
+    sample = _sample(train, plan, labels)
     keys, odds, base = _odds(sample, plan)
     model = ToxicityModel(plan, keys, odds)
     if not base:

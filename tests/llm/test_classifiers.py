@@ -1,6 +1,7 @@
 """Toxicity, language and secret scans: held-out accuracy, and odd rows."""
 
 import itertools
+import pathlib
 import random
 import zlib
 
@@ -9,9 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from stampcard.llm.language_id import fit_languages, identify
-from stampcard.llm.queries import QUERIES
+from stampcard.llm.queries import QUERIES, toxicity_model
 from stampcard.llm.secret_scan import SecretPlan, candidates, dictionary, format_labels, score_findings, train_forest
-from stampcard.llm.toxicity import fit_toxicity, maximal_segments, score_toxicity
+from stampcard.llm.toxicity import ToxicityPlan, _sample, fit_toxicity, maximal_segments, score_toxicity
 
 
 def crc(i, parts):
@@ -81,6 +82,49 @@ def test_toxicity_keeps_rows_that_share_a_passage(spark):
     assert sample.count() > 0.9 * len(set(rows))
 
 
+def test_toxicity_learns_without_shuffling_texts(spark, tmp_path):
+    """What training deals out is small beside the texts, where no label table is broadcast."""
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(200)], k=1500)) for _ in range(1500)]
+    rows = [(i, t + " vile" * (i % 5 == 0)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    folders = [f.getPath() for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def dealt():
+        return {p: p.stat().st_size for f in folders for p in pathlib.Path(f).glob("*/shuffle_*.data")}
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    threshold, before = spark.conf.get(key), dealt()
+    spark.conf.set(key, "-1")
+    try:
+        model = toxicity_model(spark, str(tmp_path))
+        moved = sum(size for p, size in dealt().items() if p not in before)
+    finally:
+        spark.conf.set(key, threshold)
+    assert model.curve is not None
+    assert 0 < moved < 0.1 * sum(len(t) for t in texts)
+
+
+def test_toxicity_sample_of_documents_and_labels_equals_that_of_their_join(spark):
+    """Above and below the bound; null and repeated ids, null texts, copies with either label, labels that count for nothing."""
+    rows = [(i, text) for i, text, _ in toxic_rows(600)]
+    rows += [(i + 5000, text) for i, text in rows[:200]] + rows[:50] + [(i, f"other {text}") for i, text in rows[50:100]]
+    rows += [(None, "no id"), (9000, None), (9001, ""), (9002, "unlabelled")]
+    marks = [(i, int(i % 7 == 0)) for i in range(600)] + [(i + 5000, i % 2) for i in range(200)]
+    marks += [(None, 1), (9000, 1), (9001, 0), (3, None), (4, 2), (20, 0), (20, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame(marks, "doc_id bigint, label bigint")
+    sizes = []
+    for plan in (ToxicityPlan(), ToxicityPlan(sample_rows=300)):
+        plain = _sample(docs.join(labels, "doc_id"), plan)
+        got = _sample(docs, plan, labels)
+        assert got.columns == plain.columns == ["label", "text", "fold"]
+        assert sorted(got.collect()) == sorted(plain.collect())
+        sizes.append(got.count())
+    assert 0 < sizes[1] < sizes[0]
+
+
 def test_toxicity_calibrates_on_all_rows_where_its_quarter_lacks_a_kind(spark):
     rows = [(f"clean words number {i} w{i}", 0) for i in range(40)] + [("vile thing", 1), ("vile vile other", 1), ("so vile", 1)]
     df = spark.createDataFrame(rows, "text string, label int")
